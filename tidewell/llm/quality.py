@@ -168,6 +168,19 @@ def score(held: DataFrame, model: Discriminant) -> DataFrame:
     return held.mapInArrow(run, StructType(held.schema.fields).add("score", "double"))
 
 
+def score_texts(docs: DataFrame, model: Discriminant) -> DataFrame:
+    """docs with a column score, from every whole text."""
+    common.bound_batches(docs.sparkSession)
+    shipped = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        for batch in batches:
+            x = np.array([statistics(t) for t in batch.column("text").to_pylist()], float).reshape(batch.num_rows, len(NAMES))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shipped.value.score(x), pa.float64())], names=[*batch.schema.names, "score"])
+
+    return docs.mapInArrow(run, StructType(docs.schema.fields).add("score", "double"))
+
+
 def train_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels that may be learned from: the fold other than the held-out one."""
     labels = common.label_of(common.read(spark, sf_dir, "labels"), "quality")
