@@ -112,14 +112,14 @@ def _bucket(id_: Column, cuts: list[int]) -> Column:
     if not cuts:
         return F.lit(0)
     array = F.array(*[F.lit(c) for c in cuts])
-    # The position of the first cut above the id, found by halving.
-    steps = max(1, (len(cuts) + 1).bit_length())
-    low = F.lit(0)
-    span = 1 << (steps - 1)
-    place = low
-    while span:
-        place = let(place, lambda p, s=span: F.when((p + s <= len(cuts)) & (F.get(array, p + (s - 1)) <= id_), p + s).otherwise(p))
-        span >>= 1
+
+    def halve(span: int):
+        return lambda p: F.when((p + span <= len(cuts)) & (F.get(array, p + (span - 1)) <= id_), p + span).otherwise(p)
+
+    # The number of cuts up to the id, found bit by bit.
+    place, span = F.lit(0), 1 << len(cuts).bit_length()
+    while span := span >> 1:
+        place = let(place, halve(span))
     return F.coalesce(F.when(id_.isNull(), F.lit(0)).otherwise(place), F.lit(0)).cast("int")
 
 
