@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tidewell.plans import identity_queries, report_queries
+from tidewell.plans import identity_queries, report_queries, slug_queries
 
-MODULES = (identity_queries, report_queries)
+MODULES = (identity_queries, report_queries, slug_queries)
 
 
 def queries() -> dict:
