@@ -88,7 +88,7 @@ def tokenise(docs: DataFrame, tokenizer_path: str) -> DataFrame:
         spec = f.read()
     shipped, key = spark.sparkContext.broadcast(spec), "pack_" + hashlib.sha256(spec.encode()).hexdigest()[:16]
     source = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("__text"))
-    schema = source.select("doc_id").schema.add("part", "int").add("start_in_part", "long").add("doc_tokens", "long").add("ids", "binary")
+    schema = source.select("doc_id").schema.add("part", "integer").add("start_in_part", "long").add("doc_tokens", "long").add("ids", "binary")
     end = np.array([END], "<u4").tobytes()
 
     def run(batches):

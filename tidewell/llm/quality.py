@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, DoubleType, StructType
 
 from tidewell.llm import common
 
@@ -98,7 +98,7 @@ def features(docs: DataFrame) -> DataFrame:
             x = [statistics(t) for t in batch.column("__text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(x, pa.list_(pa.float64()))], names=["doc_id", "x"])
 
-    return source.mapInArrow(run, source.select("doc_id").schema.add("x", "array<double>"))
+    return source.mapInArrow(run, source.select("doc_id").schema.add("x", ArrayType(DoubleType())))
 
 
 class Discriminant:
