@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, StructType
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from tidewell.llm import common
 
@@ -165,7 +165,7 @@ def score(held: DataFrame, model: Discriminant) -> DataFrame:
             x = np.array(batch.column("x").to_pylist(), float).reshape(batch.num_rows, len(NAMES))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shipped.value.score(x), pa.float64())], names=[*batch.schema.names, "score"])
 
-    return held.mapInArrow(run, StructType(held.schema.fields).add("score", "double"))
+    return held.mapInArrow(run, StructType([*held.schema.fields, StructField("score", DoubleType())]))
 
 
 def score_texts(docs: DataFrame, model: Discriminant) -> DataFrame:
@@ -178,7 +178,7 @@ def score_texts(docs: DataFrame, model: Discriminant) -> DataFrame:
             x = np.array([statistics(t) for t in batch.column("text").to_pylist()], float).reshape(batch.num_rows, len(NAMES))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shipped.value.score(x), pa.float64())], names=[*batch.schema.names, "score"])
 
-    return docs.mapInArrow(run, StructType(docs.schema.fields).add("score", "double"))
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("score", DoubleType())]))
 
 
 def train_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
