@@ -1 +1,7 @@
+"""Structured Streaming forms of the stateful operators."""
 
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
