@@ -49,16 +49,21 @@ def shingle_hashes(text: Column) -> Column:
     return let(hashed, lambda h: F.when(F.size(h) >= WORDS, several(h)).when(F.size(h) > 0, F.array(F.xxhash64(h))).otherwise(F.array().cast("array<bigint>")))
 
 
+def _bound(fraction: float) -> int:
+    """The hash below which the fraction of the signed range lies."""
+    return min((1 << 63) - 1, -(1 << 63) + int(fraction * (1 << 64)))
+
+
 def sketch(text: Column, fraction: float = FRACTION) -> Column:
     """The kept hashes of a text's shingles, sorted."""
-    bound = F.lit(-(1 << 63) + int(fraction * (1 << 64)))
+    bound = F.lit(_bound(fraction))
     kept = let(shingle_hashes(text), lambda h: let(F.filter(h, lambda x: x < bound), lambda k: F.when((F.size(k) > 0) | (F.size(h) == 0), k).otherwise(F.array(F.array_min(h)))))
     return F.array_sort(F.array_distinct(kept))
 
 
 def merged(a: Column, b: Column, fraction: float = FRACTION) -> Column:
     """Sketch of two texts' union, from their sketches."""
-    bound = F.lit(-(1 << 63) + int(fraction * (1 << 64)))
+    bound = F.lit(_bound(fraction))
     both = F.array_union(a, b)
     return let(both, lambda u: let(F.filter(u, lambda x: x < bound), lambda k: F.array_sort(F.when((F.size(k) > 0) | (F.size(u) == 0), k).otherwise(F.array(F.array_min(u))))))
 
