@@ -176,12 +176,12 @@ RULES = (
 PLATFORMS = tuple(dict.fromkeys(r.platform for r in RULES))
 
 
-def _part(spec: str, rule: Rule, url: Column, host: Column, path: Column) -> Column:
+def _part(spec: str, rule: Rule, query: Column, host: Column, path: Column) -> Column:
     name, _, case = spec.partition(":") if not spec.startswith("q:") else (spec, "", "")
     if spec.startswith("="):
         return F.lit(spec[1:])
     if spec.startswith("q:"):
-        pieces = F.filter(F.split(urls.query(url), "&"), lambda p: F.lower(F.substring_index(p, "=", 1)) == spec[2:].lower())
+        pieces = F.filter(F.split(query, "&"), lambda p: F.lower(F.substring_index(p, "=", 1)) == spec[2:].lower())
         out = F.try_url_decode(F.regexp_extract(F.get(pieces, F.lit(0)), "=(.*)$", 1))
     elif name == "h":
         out = F.regexp_extract(host, rule.host, 1)
@@ -196,48 +196,69 @@ def _part(spec: str, rule: Rule, url: Column, host: Column, path: Column) -> Col
     return {"l": F.lower, "u": F.upper}.get(case, lambda c: c)(out)
 
 
-def slug_of(rule: Rule, url: Column) -> Column:
-    """The slug by one rule, or NULL."""
-    host, path = F.regexp_replace(urls.host(url), r"^.*@|:\d+$", ""), urls.path(url)
-    parts = [_part(p, rule, url, host, path) for p in rule.parts]
-    ok = host.rlike(rule.host)
+def _parts(url: Column) -> Column:
+    """Host without user and port, path and query of a URL."""
+    return F.struct(F.regexp_replace(urls.host(url), r"^.*@|:\d+$", "").alias("h"), urls.path(url).alias("p"), urls.query(url).alias("q"))
+
+
+def _by_rule(rule: Rule, u: Column) -> Column:
+    """The slug by one rule of a URL's parts, or NULL; the host is tested first."""
+
+    def checked(v):
+        parts = [v[f"c{k}"] for k in range(len(rule.parts))]
+        ok = F.lit(True)
+        for p in parts:
+            ok = ok & (F.coalesce(p, F.lit("")) != "")
+        named = next(p for p, spec in zip(parts, rule.parts, strict=True) if not spec.startswith("="))
+        if rule.reserved:
+            ok = ok & ~F.lower(named).isin(*RESERVED)
+        if rule.unlike:
+            ok = ok & ~F.lower(named).isin(*rule.unlike)
+        for k in rule.real:
+            ok = ok & is_real(parts[k])
+        slug = parts[0] if len(parts) == 1 else F.concat_ws("|", *parts)
+        if rule.shape:
+            ok = ok & slug.rlike(rule.shape)
+        return F.when(ok, slug)
+
+    match = u["h"].rlike(rule.host)
     if rule.path:
-        ok = ok & path.rlike(rule.path)
-    for p in parts:
-        ok = ok & (F.coalesce(p, F.lit("")) != "")
-    named = next(p for p, spec in zip(parts, rule.parts, strict=True) if not spec.startswith("="))
-    if rule.reserved:
-        ok = ok & ~F.lower(named).isin(*RESERVED)
-    if rule.unlike:
-        ok = ok & ~F.lower(named).isin(*rule.unlike)
-    for k in rule.real:
-        ok = ok & is_real(parts[k])
-    slug = parts[0] if len(parts) == 1 else F.concat_ws("|", *parts)
-    if rule.shape:
-        ok = ok & slug.rlike(rule.shape)
-    return F.when(ok, slug)
+        match = match & u["p"].rlike(rule.path)
+    values = F.struct(*[_part(spec, rule, u["q"], u["h"], u["p"]).alias(f"c{k}") for k, spec in enumerate(rule.parts)])
+    return F.when(match, urls.let(values, checked))
+
+
+#: Any host that some rule knows: one test spares all others.
+ANY_HOST = "|".join(f"(?:{h})" for h in dict.fromkeys(r.host for r in RULES))
 
 
 def platform_slug(platform: str, url: Column) -> Column:
     """The slug of a URL on one platform: its rules in turn."""
-    return F.coalesce(*[slug_of(r, url) for r in RULES if r.platform == platform])
+    return urls.let(_parts(url), lambda u: F.coalesce(*[_by_rule(r, u) for r in RULES if r.platform == platform]))
 
 
 def first_match(url: Column) -> Column:
     """(ats, slug) of the first platform that knows the URL, NULL if none does."""
-    found = None
-    for r in RULES:
-        slug = slug_of(r, url)
-        hit = slug.isNotNull()
-        value = F.struct(F.lit(r.platform).alias("ats"), slug.alias("slug"))
-        found = F.when(hit, value) if found is None else found.when(hit, value)
-    return found
+
+    def found(u):
+        values = [urls.let(_by_rule(r, u), _tagged(r.platform)) for r in RULES]
+        return F.when(u["h"].rlike(ANY_HOST), F.coalesce(*values))
+
+    return urls.let(_parts(url), found)
+
+
+def _tagged(platform: str):
+    return lambda s: F.when(s.isNotNull(), F.struct(F.lit(platform).alias("ats"), s.alias("slug")))
 
 
 def all_matches(url: Column) -> Column:
     """Array of (ats, slug), one for each platform that knows the URL."""
-    each = [F.struct(F.lit(p).alias("ats"), platform_slug(p, url).alias("slug")) for p in PLATFORMS]
-    return F.filter(F.array(*each), lambda x: x["slug"].isNotNull())
+
+    def found(u):
+        each = [F.struct(F.lit(p).alias("ats"), F.coalesce(*[_by_rule(r, u) for r in RULES if r.platform == p]).alias("slug")) for p in PLATFORMS]
+        return F.filter(F.array(*each), lambda x: x["slug"].isNotNull())
+
+    return urls.let(_parts(url), found)
 
 
 def workday_malformed(slug: Column) -> Column:

@@ -42,6 +42,16 @@ def fragment(url: Column) -> Column:
     return F.regexp_extract(url, _URL, 5)
 
 
+def let(value: Column, body) -> Column:
+    """body(value), with value computed once for each row."""
+    return F.transform(F.array(value), body)[0]
+
+
+def parts(url: Column) -> Column:
+    """All five parts of a URL as one struct (s, h, p, q, f)."""
+    return F.struct(scheme(url).alias("s"), host(url).alias("h"), path(url).alias("p"), query(url).alias("q"), fragment(url).alias("f"))
+
+
 def segments(p: Column) -> Column:
     """Non-empty segments of a path."""
     return F.filter(F.split(p, "/"), lambda s: s != "")
@@ -73,33 +83,40 @@ def lower_but_escapes(s: Column) -> Column:
     return F.array_join(fixed, "%")
 
 
-def _join(s: Column, h: Column, p: Column, pieces: Column, frag: Column) -> Column:
-    q = F.array_join(pieces, "&")
-    p = F.when((p != "") & ~p.startswith("/"), F.concat(F.lit("/"), p)).otherwise(p)
-    return F.concat(s, F.lit("://"), h, p, F.when(q != "", F.concat(F.lit("?"), q)).otherwise(""), F.when(frag != "", F.concat(F.lit("#"), frag)).otherwise(""))
+def _joined(u: Column, p: Column, pieces: Column) -> Column:
+    """A URL of parts u with another path and query."""
+    p = let(p, lambda x: F.when((x != "") & ~x.startswith("/"), F.concat(F.lit("/"), x)).otherwise(x))
+    q = let(F.array_join(pieces, "&"), lambda x: F.when(x != "", F.concat(F.lit("?"), x)).otherwise(""))
+    return F.concat(u["s"], F.lit("://"), u["h"], p, q, F.when(u["f"] != "", F.concat(F.lit("#"), u["f"])).otherwise(""))
+
+
+def _canonical_path(h: Column, p: Column) -> Column:
+    def board(segs):
+        at = F.when(F.get(segs, F.lit(0)).rlike("^[a-z]{2}(-[A-Za-z]{2})?$") & (F.size(segs) > 1), 1).otherwise(0)
+        fixed = F.transform(segs, lambda s, i: F.when((h == LOWER_PATH_HOST) | (i == at), lower_but_escapes(s)).otherwise(s))
+        return F.when((h == LOWER_PATH_HOST) | (F.size(segs) > 0), F.concat(F.lit("/"), F.array_join(fixed, "/"))).otherwise(p)
+
+    return F.when((h == LOWER_PATH_HOST) | h.endswith(LOWER_BOARD_SUFFIX), let(segments(p), board)).otherwise(p)
 
 
 def canonical_url(url: Column) -> Column:
     """The stored spelling: only changes that cannot break the link."""
-    segs = segments(path(url))
-    whole = F.concat(F.lit("/"), F.array_join(F.transform(segs, lower_but_escapes), "/"))
-    at = F.when(F.get(segs, F.lit(0)).rlike("^[a-z]{2}(-[A-Za-z]{2})?$") & (F.size(segs) > 1), 1).otherwise(0)
-    board = F.concat(F.lit("/"), F.array_join(F.transform(segs, lambda s, i: F.when(i == at, lower_but_escapes(s)).otherwise(s)), "/"))
-    p = (
-        F.when(host(url) == LOWER_PATH_HOST, whole)
-        .when(host(url).endswith(LOWER_BOARD_SUFFIX) & (F.size(segs) > 0), board)
-        .otherwise(path(url))
-    )
-    out = _join(scheme(url), host(url), p, clean_query(query(url)), fragment(url))
+    out = let(parts(url), lambda u: _joined(u, _canonical_path(u["h"], u["p"]), clean_query(u["q"])))
     return F.when(url.isNull() | ~url.contains("://"), url).otherwise(out)
 
 
+def _key_path(p: Column) -> Column:
+    folded = let(lower_but_escapes(F.regexp_replace(p, "/{2,}", "/")), lambda x: F.struct(x.alias("x"), F.rtrim(x, F.lit("/")).alias("r")))
+    return let(folded, lambda x: F.when(F.length(x["x"]) <= 1, x["x"]).when(x["r"] == "", "/").otherwise(x["r"]))
+
+
 def url_key(url: Column) -> Column:
     """Identity: path case, doubled and final slashes, query order and tracking do not matter."""
-    p = lower_but_escapes(F.regexp_replace(path(url), "/{2,}", "/"))
-    p = F.when(F.length(p) > 1, F.coalesce(F.nullif(F.rtrim(p, F.lit("/")), F.lit("")), F.lit("/"))).otherwise(p)
-    pieces = F.transform(clean_query(query(url)), lambda x: F.concat(F.lower(_name(x)), F.when(x.contains("="), F.substring(x, F.instr(x, "="), F.lit(1 << 30))).otherwise("")))
-    out = _join(scheme(url), host(url), p, F.array_sort(pieces), fragment(url))
+
+    def piece(x):
+        return F.concat(F.lower(_name(x)), F.when(x.contains("="), F.substring(x, F.instr(x, "="), F.lit(1 << 30))).otherwise(""))
+
+    out = let(parts(url), lambda u: _joined(u, _key_path(u["p"]), F.array_sort(F.transform(clean_query(u["q"]), piece))))
     return F.when(url.isNull(), "").when(~url.contains("://"), url).otherwise(out)
 
 
