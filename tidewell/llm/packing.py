@@ -14,6 +14,7 @@ is that of the input's partitions.
 from __future__ import annotations
 
 import hashlib
+import struct
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ QUERY = "op2_packing"
 #: Tokens of a window, and the id that ends every document.
 WINDOW, END = 2048, 1
 #: Distinct stretches of text a worker remembers with their ids, in two generations.
-MEMORY = 700_000
+MEMORY = 500_000
 #: Partition totals up to this number are broadcast, others joined by shuffle.
 BROADCAST_TOTALS = 100_000
 
@@ -53,7 +54,7 @@ class Tokens:
 
     def _ask(self, texts: list[str]) -> list[bytes]:
         done = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in done]
+        return [struct.pack(f"<{len(ids)}I", *ids) for ids in (e.ids for e in done)]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
@@ -69,15 +70,20 @@ class Tokens:
                 first, *rest = t.split(" ")
                 parts.append([first, *[" " + w for w in rest]])
         held, old = self.held, self.old
-        new = {w for p in parts if p for w in p if w not in held}
+        found = [p if p is None else list(map(held.get, p)) for p in parts]
+        # Only texts with a stretch that isn't remembered are looked at again.
+        again = [k for k, f in enumerate(found) if f is not None and None in f]
+        new = {w for k in again for w, f in zip(parts[k], found[k], strict=True) if f is None}
         known = new & old.keys()
         held.update((w, old[w]) for w in known)
         new = list(new - known)
         for k in range(0, len(new), 20_000):
             some = new[k : k + 20_000]
             held.update(zip(some, self._ask(some), strict=True))
+        for k in again:
+            found[k] = [held[w] for w in parts[k]]
         asked = iter(self._ask(whole))
-        return [next(asked) if p is None else b"".join([held[w] for w in p]) for p in parts]
+        return [next(asked) if f is None else b"".join(f) for f in found]
 
 
 def tokenise(docs: DataFrame, tokenizer_path: str) -> DataFrame:
