@@ -42,6 +42,8 @@ TITLE_WORDS = (
     "senior|junior|sr|jr|entry-level|full-time|part-time|remote|marketing|sales|customer|account|product|project|program|operations|finance|human-resources|software|data|"
     "business-development|engineering"
 )
+#: Words with which the names of a page's actions begin.
+ACTIONS = "refresh|clear|load|reload|search|filter|toggle|apply|remove|add|fetch|get|set|update|reset|submit|open|close|show|hide|select|dismiss|expand|collapse"
 FILES = "png|jpe?g|gif|svg|webp|ico|bmp|css|js|mjs|woff2?|ttf|eot|pdf|mp4|webm|json|map|txt|xml"
 
 
@@ -104,7 +106,7 @@ RULES = (
     _seg("ashby", "jobs.ashbyhq.com", parts=("p1:d",), real=(0,)),
     _sub("bamboohr", "bamboohr.com", unlike=_WWW),
     Rule("icims", r"^(?:(?:[a-z]{2}careers\d*|careers\d*|career\d*|jobs\d*|hiring|employment|recruiting|talent)-)?([^/]+)\.icims\.com$"),
-    Rule("workday", r"^([^./]+)\.([^./]+)\.(?:.*\.)?myworkdayjobs\.com$", rf"^/+{_LOCALE}([^/]+)", ("h", "h2", "p1"), (2,), reserved=False, shape=r"(?i)^(?!.*\|(?:refreshFacet|login|logout|jobAlerts|userHome|introduceYourself)$).+\|.+\|.+$"),
+    Rule("workday", r"^([^./]+)\.([^./]+)\.(?:.*\.)?myworkdayjobs\.com$", rf"^/+{_LOCALE}([^/]+)", ("h", "h2", "p1"), (2,), reserved=False, shape=rf"^(?!.*\|(?:{ACTIONS})[A-Z]\w*$)(?!(?i:.*\|(?:{ACTIONS})$)).+\|.+\|.+$"),
     Rule("rippling", r"rippling\.com", r"^/+(?:[a-z]{2}(?:-[A-Za-z]{2})?/(?!(?i:jobs)(?:/|$))(?=[^/]+/))?([^/]+)/(?:[^/]+/)*(?i:jobs)(?:/|$)", ("p1",), (0,)),
     _sub("rippling", "rippling.com", unlike=("www", "app", "ats"), real=(0,)),
     _seg("workable", "apply.workable.com", parts=("p1:l",), unlike=("j", "i")),

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tidewell.plans import identity_queries, page_queries, report_queries, slug_queries, stream_queries, text_queries
+from tidewell.plans import identity_queries, page_queries, report_queries, scope_queries, slug_queries, stream_queries, text_queries
 
-MODULES = (identity_queries, page_queries, report_queries, slug_queries, stream_queries, text_queries)
+MODULES = (identity_queries, page_queries, report_queries, scope_queries, slug_queries, stream_queries, text_queries)
 
 
 def queries() -> dict:

@@ -21,6 +21,7 @@ EXAMPLES = (
     ("https://jobsco.icims.com/jobs", "icims", "jobsco"),
     ("https://acme.wd5.myworkdayjobs.com/en-US/External/job/x", "workday", "acme|wd5|External"),
     ("https://acme.wd1.myworkdayjobs.com/favicon.ico", "workday", None),
+    ("https://acme.wd1.myworkdayjobs.com/refreshFacet", "workday", None),
     ("https://ats.rippling.com/en-US/acme/jobs", "rippling", "acme"),
     ("https://ats.rippling.com/acme-careers/jobs", "rippling", "acme-careers"),
     ("https://apply.workable.com/Acme/j/1", "workable", "acme"),
