@@ -90,7 +90,7 @@ def test_discriminant_is_the_formula():
     for m, f in zip(model.means, model.inverse, strict=True):
         cov = np.linalg.inv(f) @ np.linalg.inv(f).T
         log.append(-0.5 * np.einsum("ij,jk,ik->i", z - m, np.linalg.inv(cov), z - m) - 0.5 * np.linalg.slogdet(cov)[1])
-    odds = (log[1] - log[0] + model.prior) / quality.TEMPERATURE
+    odds = (log[1] - log[0]) / quality.TEMPERATURE + model.prior
     assert np.allclose(got, 1 / (1 + np.exp(-odds)), atol=1e-9)
 
 

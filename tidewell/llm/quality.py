@@ -3,8 +3,9 @@
 Statistics of every whole text are transformed (logarithms, logits of shares) and
 written once. Class means and covariances come from sums that Spark adds up over all
 labelled rows; each covariance is shrunk towards the pooled one and that towards a
-multiple of the identity. A score is the logistic of the difference of the two
-Mahalanobis log-densities, computed with the Cholesky factors kept in the model.
+multiple of the identity. A score is the logistic of the prior's log-odds and the
+difference of the two Mahalanobis log-densities, computed with the Cholesky factors
+kept in the model; the difference weighs less for short texts.
 
 Defined results: a null text counts as empty, and empty texts are scored by the same
 statistics (all zero); a class without labelled rows leaves every score at the other
@@ -31,6 +32,8 @@ QUERY = "op6_quality"
 TO_POOLED, TO_IDENTITY = 0.1, 0.02
 #: The log-odds are divided by this: neighbouring words are not independent evidence.
 TEMPERATURE = 2.0
+#: A text of this many characters counts half of what its statistics say, a longer one more.
+HALF_EVIDENCE = 200
 #: A document is kept at this score and above.
 THRESHOLD = 0.7
 
@@ -130,13 +133,14 @@ class Discriminant:
             self.log_det.append(2 * float(np.log(np.diag(factor)).sum()))
         self.prior = float(np.log(n[1] / n[0]))
 
-    def score(self, x: np.ndarray) -> np.ndarray:
-        """Probability of class 1 for rows of statistics."""
+    def score(self, x: np.ndarray, chars: np.ndarray | None = None) -> np.ndarray:
+        """Probability of class 1 for rows of statistics; a text of few chars stays near the prior, an empty one does not."""
         if self.constant is not None:
             return np.full(len(x), self.constant)
         z = x / self.scale
         log = [-0.5 * (((z - m) @ f.T) ** 2).sum(axis=1) - 0.5 * d for m, f, d in zip(self.means, self.inverse, self.log_det, strict=True)]
-        odds = (log[1] - log[0] + self.prior) / TEMPERATURE
+        weight = 1.0 if chars is None else np.where(chars > 0, chars / (chars + HALF_EVIDENCE), 1.0)
+        odds = self.prior + weight * (log[1] - log[0]) / TEMPERATURE
         return 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
 
 
@@ -163,7 +167,7 @@ def score(held: DataFrame, model: Discriminant) -> DataFrame:
     def run(batches):
         for batch in batches:
             x = np.array(batch.column("x").to_pylist(), float).reshape(batch.num_rows, len(NAMES))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shipped.value.score(x), pa.float64())], names=[*batch.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shipped.value.score(x, np.expm1(x[:, 0])), pa.float64())], names=[*batch.schema.names, "score"])
 
     return held.mapInArrow(run, StructType([*held.schema.fields, StructField("score", DoubleType())]))
 
@@ -176,7 +180,7 @@ def score_texts(docs: DataFrame, model: Discriminant) -> DataFrame:
     def run(batches):
         for batch in batches:
             x = np.array([statistics(t) for t in batch.column("text").to_pylist()], float).reshape(batch.num_rows, len(NAMES))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shipped.value.score(x), pa.float64())], names=[*batch.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shipped.value.score(x, np.expm1(x[:, 0])), pa.float64())], names=[*batch.schema.names, "score"])
 
     return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("score", DoubleType())]))
 
