@@ -20,6 +20,8 @@ others. Further columns are kept by deduplicate().
 
 from __future__ import annotations
 
+from bisect import bisect_left
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -129,39 +131,48 @@ def distance_within(a: np.ndarray, b: np.ndarray, most: int) -> int:
     shared = int(np.minimum(np.bincount(which[:n], minlength=size), np.bincount(which[n:], minlength=size)).sum())
     if m - shared > most:
         return most + 1
-    band = min(most, max(16, m - n))
-    while True:
-        found = _banded(which[:n], which[n:], band)
-        if found <= band or band >= most:
-            return found if found <= most else most + 1
-        band = min(most, band * 4)
+    return _along_diagonals(which[:n], which[n:], most)
+
 
+def _along_diagonals(a: np.ndarray, b: np.ndarray, most: int) -> int:
+    """Edit distance if it is at most most, else most + 1.
 
-def _banded(a: np.ndarray, b: np.ndarray, band: int) -> int:
-    """Edit distance if it is at most band, else something larger."""
+    In a band of diagonals about the main one that widens with every edit spent, each
+    diagonal holds the furthest row that so many edits reach; from there a diagonal is
+    followed to its next mismatch, which a list of its mismatches gives at once.
+    """
     n, m = len(a), len(b)
-    width = 2 * band + 1  # place j of row i stands for column i + j - band
-    far = n + m + 1
-    steps = np.arange(width)
-    padded = np.full(m + 2 * width + n, -1, b.dtype)
-    padded[band : band + m] = b
-    columns = steps - band
-    now = np.where((columns >= 0) & (columns <= m), columns, far)
-    for i in range(1, n + 1):
-        # Column c of row i compares a[i-1] with b[c-1].
-        differs = padded[i - 1 : i - 1 + width] != a[i - 1]
-        new = now + differs
-        new[:-1] = np.minimum(new[:-1], now[1:] + 1)
-        columns = columns + 1
-        new[(columns < 0) | (columns > m)] = far
-        if columns[0] <= 0 <= columns[-1]:
-            new[-columns[0]] = i
-        new = np.minimum.accumulate(new - steps) + steps
-        new[columns > m] = far
-        if new.min() > band:
-            return far
-        now = new
-    return int(now[m - n + band]) if 0 <= m - n + band < width else far
+    stops: dict[int, list[int]] = {}
+
+    def follow(k: int, i: int) -> int:
+        """The row of the first mismatch on diagonal k (column = row + k) from row i on."""
+        held = stops.get(k)
+        if held is None:
+            low, high = max(0, -k), min(n, m - k)
+            held = (np.flatnonzero(a[low:high] != b[low + k : high + k]) + low).tolist() if low < high else []
+            held.append(max(high, low))
+            stops[k] = held
+        at = bisect_left(held, i)
+        return held[at] if at < len(held) else i
+
+    goal = m - n
+    reach = {0: follow(0, 0)}
+    if goal == 0 and reach[0] >= n:
+        return 0
+    none = -1 << 60
+    for e in range(1, most + 1):
+        new = {}
+        # Diagonals from which the rest of the edits can't reach the goal are left out.
+        for k in range(max(-e, -n, goal - (most - e)), min(e, m, goal + (most - e)) + 1):
+            i = max(reach.get(k, none) + 1, reach.get(k - 1, none), reach.get(k + 1, none) + 1)
+            i = min(i, n, m - k)
+            if i < 0 or i + k < 0:
+                continue
+            new[k] = follow(k, i)
+        if new.get(goal, none) >= n:
+            return e
+        reach = new
+    return most + 1
 
 
 def similar(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> bool:
