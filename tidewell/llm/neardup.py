@@ -1,6 +1,6 @@
 """Near-duplicate documents by Order MinHash, verified by banded alignment.
 
-A text's k-mers are its runs of five words, each labelled with its occurrence, so that
+A text's k-mers are its runs of five words (runs without ASCII white space), each labelled with its occurrence, so that
 repeats differ. A sketch holds, under each of SKETCHES orders of hashes, the KMERS
 least labelled k-mers in the order in which they stand in the text; it is sensitive to
 edits and moves, not to sets alone. Texts that agree in one of them, or in two
@@ -24,7 +24,7 @@ from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.llm import common
@@ -53,23 +53,32 @@ def _seeds(n: int) -> np.ndarray:
 
 
 class Words:
-    """64-bit hashes of words, remembered by a worker."""
+    """64-bit hashes of a text's words, its runs without ASCII white space.
 
-    MEMORY = 400_000
+    A word's hash is a sum over its bytes of a byte's number times a power for its
+    place, mixed with the word's length; all words of a text at once.
+    """
 
     def __init__(self):
-        self.held: dict[str, int] = {}
+        self.number = _mixed(np.arange(1, 257, dtype=np.uint64) * _ODD)
+        self.number[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32]] = 0
+        self.power = np.ones(1, np.uint64)
 
     def __call__(self, text: str) -> np.ndarray:
-        import hashlib
-
-        words, held = text.split(), self.held
-        if len(held) > self.MEMORY:
-            held.clear()
-        for w in set(words):
-            if w not in held:
-                held[w] = int.from_bytes(hashlib.blake2b(w.encode(), digest_size=8).digest(), "little")
-        return np.fromiter((held[w] for w in words), np.uint64, len(words))
+        raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+        number = self.number[raw]
+        inside = number != 0
+        starts = np.flatnonzero(inside & ~np.r_[False, inside[:-1]])
+        if not len(starts):
+            return np.zeros(0, np.uint64)
+        spans = np.diff(np.r_[starts, len(raw)])
+        longest = int(spans.max())
+        if longest > len(self.power):
+            self.power = np.cumprod(np.full(2 * longest, _ODD))
+        place = np.arange(starts[0], len(raw)) - np.repeat(starts, spans)
+        sums = np.add.reduceat(number[starts[0] :] * self.power[place], starts - starts[0])
+        lengths = np.add.reduceat(inside[starts[0] :].astype(np.uint64), starts - starts[0])
+        return _mixed(sums + lengths * _ODD)
 
 
 def kmers(words: np.ndarray) -> np.ndarray:
@@ -175,10 +184,49 @@ def _along_diagonals(a: np.ndarray, b: np.ndarray, most: int) -> int:
     return most + 1
 
 
+def distance_at_most(a: np.ndarray, b: np.ndarray, span: int = 3) -> int:
+    """A bound of the edit distance from above: the cost of one alignment.
+
+    Runs of span words that occur once in either text, in the same order, are its
+    anchors; what lies between two neighbouring anchors is aligned on its own.
+    """
+    if min(len(a), len(b)) < span:
+        return max(len(a), len(b))
+    runs = []
+    for x in (a, b):
+        h = np.zeros(len(x) - span + 1, np.uint64)
+        for j in range(span):
+            h = _mixed(h + x[j : len(x) - span + 1 + j] + _ODD)
+        value, first, times = np.unique(h, return_index=True, return_counts=True)
+        runs.append((value[times == 1], first[times == 1]))
+    _, i, j = np.intersect1d(runs[0][0], runs[1][0], assume_unique=True, return_indices=True)
+    i, j = runs[0][1][i], runs[1][1][j]
+    order = np.argsort(i)
+    i, j = i[order], j[order]
+    # Only anchors that no other crosses.
+    if len(j):
+        free = (j == np.maximum.accumulate(j)) & (j == np.minimum.accumulate(j[::-1])[::-1])
+        i, j = i[free], j[free]
+    i, j = np.r_[0, i, len(a)], np.r_[0, j, len(b)]
+    rows, columns = np.diff(i), np.diff(j)
+    level = rows == columns
+    # Between anchors on one diagonal words stand against each other.
+    on = np.repeat(level, rows)
+    against = np.arange(len(a)) + np.repeat(j[:-1] - i[:-1], rows)
+    cost = int((a[on] != b[against[on]]).sum())
+    for k in np.flatnonzero(~level):
+        x, y = a[i[k] : i[k + 1]], b[j[k] : j[k + 1]]
+        longest = max(len(x), len(y))
+        cost += distance_within(x, y, longest) if longest <= 200 else longest
+    return cost
+
+
 def similar(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> bool:
     longest = max(len(a), len(b))
     most = int((1 - similarity) * longest + 1e-9)
-    return distance_within(a, b, most) <= most
+    if abs(len(a) - len(b)) > most:
+        return False
+    return distance_at_most(a, b) <= most or distance_within(a, b, most) <= most
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -202,10 +250,13 @@ def sketches(docs: DataFrame) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """pairs (a, b) of nodes with ok, whether their texts are similar; texts: (node, text)."""
-    involved = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    some = texts.join(involved, "node", "left_semi")
-    rows = pairs.join(some.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a").join(some.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
+    """pairs (a, b) of nodes with ok, whether their texts are similar; texts: (node, text).
+
+    Both joins are by shuffle at every size: the texts are the large side.
+    """
+    first = texts.select(F.col("node").alias("a"), F.col("text").alias("ta"))
+    second = texts.select(F.col("node").alias("b"), F.col("text").alias("tb"))
+    rows = pairs.hint("merge").join(first, "a").hint("merge").join(second, "b")
 
     def run(batches):
         words = common.worker_state("neardup_words", Words)
@@ -221,6 +272,21 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return rows.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long, ok boolean")
 
 
+def _texts_of(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, node: Column) -> DataFrame:
+    """(node, text) of the nodes in pairs, each once, written to the shared folder.
+
+    A text is read from the row of its least doc_id: copies have other ids and do not
+    meet in a task. Later rounds need no other texts.
+    """
+    involved = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    chosen = nodes.select(node.alias("node"), "least", "repeats").join(involved, "node", "left_semi")
+    rows = _texts(docs).select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("least"), node.alias("node"), "text")
+    found = common.table(rows.hint("merge").join(chosen, ["least", "node"]).select("node", "text", "repeats"), "texts")
+    if found.where("repeats > 1").limit(1).count():  # rows that repeat with their id
+        found = common.table(found.dropDuplicates(["node"]), "texts")
+    return found.select("node", "text")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root) of the nodes in links (a, b): least node of each connected component.
 
@@ -252,23 +318,21 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     named = _texts(docs).select(F.coalesce(F.col("doc_id").cast("long"), least).alias("doc_id"), "t1", "t2")
     members = common.table(named.groupBy("doc_id", "t1", "t2").agg(F.count("*").alias("copies")), "members")
     # A node is a distinct text, known by one of its hashes; another hash tells a collision apart.
-    nodes = members.groupBy("t1", "t2").agg(F.min("doc_id").alias("least"))
+    nodes = members.groupBy("t1", "t2").agg(F.min("doc_id").alias("least"), F.max("copies").alias("repeats"))
     keyed = sketches(docs).groupBy("t1", "t2").agg(F.min("keys").alias("keys"))
     keyed = common.table(keyed, "sketches")
     node = F.xxhash64("t1", "t2")
     finer = F.expr(f"transform(sequence(0, {SKETCHES} - 1), i -> struct(i + {SKETCHES} as band, xxhash64(keys[i], keys[(i + 1) % {SKETCHES}]) as value))")
     coarse = F.expr(f"transform(sequence(0, {SKETCHES} - 1), i -> struct(i as band, keys[i] as value))")
     buckets = keyed.select(node.alias("node"), F.explode(F.concat(coarse, finer)).alias("k")).select("node", "k.band", "k.value")
-    texts = _texts(docs).select(node.alias("node"), "text")
-    if members.groupBy("t1", "t2").agg(F.count("*").alias("n"), F.sum("copies").alias("c")).where("n > 1 or c > 1").limit(1).count():
-        # One row of each text: the rows of a text meet by partial aggregation of their first.
-        texts = texts.groupBy("node").agg(F.first("text").alias("text"))
-    links, open_buckets = None, buckets
+    links, open_buckets, texts = None, buckets, None
     for step in range(ROUNDS):
         leaders = open_buckets.groupBy("band", "value").agg(F.min("node").alias("leader"), F.count("*").alias("n")).where("n > 1").select("band", "value", "leader")
         led = open_buckets.join(leaders, ["band", "value"]).where("node <> leader")
         led = common.table(led, "led")
         pairs = led.select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
+        if texts is None:
+            texts = _texts_of(docs, nodes, pairs, node)
         judged = common.table(_verified(pairs, texts), "judged")
         good = judged.where("ok").select("a", "b")
         links = good if links is None else links.unionByName(good)
