@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Platforms whose board slug ignores case.
@@ -13,9 +13,14 @@ def canonical_slug(platform: Column, slug: Column) -> Column:
     return F.when(F.lower(platform).isin(*CASELESS_PLATFORMS), F.lower(slug)).otherwise(slug)
 
 
-def duplicate_groups(rows: DataFrame, key: str) -> DataFrame:
-    """(key, n) of the keys that several rows share; empty keys are no key."""
-    return rows.where((F.col(key) != "") & F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n")).where("n > 1")
+def duplicate_groups(rows: DataFrame, key: str, *more: Column) -> DataFrame:
+    """(key, n, *more aggregates) of the keys that several rows share; empty keys are no key.
+
+    Emptiness is an aggregate as well: a filter on the key would move below and have a
+    derived key computed twice for each row.
+    """
+    out = rows.groupBy(key).agg(F.count("*").alias("n"), F.max(F.col(key) != "").alias("__named"), *more)
+    return out.where("n > 1 and __named").drop("__named")
 
 
 def first_wins(rows: DataFrame, keys: list[str], position: str) -> DataFrame:
@@ -57,11 +62,16 @@ def drop_case_twins(registry: DataFrame, platform: str = "ats", slug: str = "slu
 
 
 def survivors(rows: DataFrame, key: str, tracked: Column, active: Column, id_: str) -> DataFrame:
-    """rows of duplicate groups with survivor and loser: tracked rows first, then active ones, then the least id; tracked rows never lose."""
-    groups = duplicate_groups(rows, key).select(key)
-    order = Window.partitionBy(key).orderBy(tracked.desc(), active.desc(), F.col(id_))
-    marked = rows.join(groups, key, "left_semi").withColumn("place", F.row_number().over(order))
-    return marked.withColumn("survivor", F.col("place") == 1).withColumn("loser", (F.col("place") > 1) & ~tracked)
+    """rows of duplicate groups with survivor and loser: tracked rows first, then active ones, then the least id; tracked rows never lose.
+
+    The best row of a key is an aggregate that combines before the shuffle, joined back;
+    no window has to hold a group that most rows are in.
+    """
+    place = F.struct((~tracked).alias("a"), (~active).alias("b"), F.col(id_).alias("c"))
+    marked = rows.withColumn("__place", place).withColumn("__tracked", tracked)
+    best = duplicate_groups(marked, key, F.min("__place").alias("__best")).drop("n")
+    out = marked.join(best, key).withColumn("survivor", F.col("__place") == F.col("__best"))
+    return out.withColumn("loser", ~F.col("survivor") & ~F.col("__tracked")).drop("__place", "__best", "__tracked")
 
 
 def guarded_sweep(rows: DataFrame, marked: DataFrame, id_: str, fraction: float = 0.1) -> DataFrame:
