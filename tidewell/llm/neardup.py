@@ -35,8 +35,8 @@ QUERY = "op7_neardup"
 WORDS, SIMILARITY = 5, 0.8
 #: Orders of hashes, and k-mers sampled under each.
 SKETCHES, KMERS = 12, 2
-#: Rounds of leaders, and of joining labels at most.
-ROUNDS, MOST_JOINS = 3, 30
+#: Rounds of leaders; rounds of labels after which something must be wrong (they halve every path).
+ROUNDS, MOST_JOINS = 3, 300
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -295,7 +295,7 @@ def components(links: DataFrame) -> DataFrame:
     """
     both = common.table(links.select("a", "b").union(links.select("b", "a")).distinct(), "links")
     labels = common.table(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("root")).withColumnRenamed("a", "node"), "labels")
-    for _ in range(MOST_JOINS * 10):
+    for _ in range(MOST_JOINS):
         near = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("root").alias("near"))
         new = labels.join(near, labels["node"] == near["a"]).select("node", F.least("root", "near").alias("next"), "root")
         up = labels.select(F.col("node").alias("up"), F.col("root").alias("upper"))
