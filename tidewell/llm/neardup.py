@@ -20,8 +20,6 @@ others. Further columns are kept by deduplicate().
 
 from __future__ import annotations
 
-from bisect import bisect_left
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -148,21 +146,24 @@ def _along_diagonals(a: np.ndarray, b: np.ndarray, most: int) -> int:
 
     In a band of diagonals about the main one that widens with every edit spent, each
     diagonal holds the furthest row that so many edits reach; from there a diagonal is
-    followed to its next mismatch, which a list of its mismatches gives at once.
+    followed to its next mismatch. Memory is that of the texts and two rows of the band.
     """
     n, m = len(a), len(b)
-    stops: dict[int, list[int]] = {}
+    rows, columns = a.tolist(), b.tolist()
 
     def follow(k: int, i: int) -> int:
         """The row of the first mismatch on diagonal k (column = row + k) from row i on."""
-        held = stops.get(k)
-        if held is None:
-            low, high = max(0, -k), min(n, m - k)
-            held = (np.flatnonzero(a[low:high] != b[low + k : high + k]) + low).tolist() if low < high else []
-            held.append(max(high, low))
-            stops[k] = held
-        at = bisect_left(held, i)
-        return held[at] if at < len(held) else i
+        end, step = min(n, m - k), 16
+        if i >= end or rows[i] != columns[i + k]:
+            return i
+        while i < end:
+            differs = a[i : min(end, i + step)] != b[i + k : min(end, i + step) + k]
+            at = int(differs.argmax())
+            if differs[at]:
+                return i + at
+            i += len(differs)
+            step *= 2
+        return end
 
     goal = m - n
     reach = {0: follow(0, 0)}
