@@ -164,10 +164,13 @@ def search(rows: DataFrame, every: int = 20, k: int = 20, id_col: str = "vec_id"
 
     def visit(batches):
         for pdf in batches:
-            x = np.array(pdf["v"].tolist(), float).reshape(len(pdf), -1)
-            for (i, v), cells in zip(zip(pdf["vec_id"], pdf["v"], strict=True), shipped.value.visits(x), strict=True):
-                to = [(c, b) for c in cells.tolist() for b in range(blocks.get(c, 0))]
-                yield pd.DataFrame({"cell": [c for c, _ in to], "block": [b for _, b in to], "vec_id": i, "v": [v] * len(to)}).astype({"cell": "int32", "block": "int32"})
+            for k in range(0, len(pdf), 256):
+                some = pdf.iloc[k : k + 256]
+                cells = shipped.value.visits(np.array(some["v"].tolist(), float).reshape(len(some), -1))
+                to = [[(c, b) for c in row for b in range(blocks.get(c, 0))] for row in cells.tolist()]
+                spot = np.array([x for row in to for x in row], np.int32).reshape(-1, 2)
+                which = np.repeat(np.arange(len(some)), [len(row) for row in to])
+                yield pd.DataFrame({"cell": spot[:, 0], "block": spot[:, 1], "vec_id": some["vec_id"].to_numpy()[which], "v": some["v"].to_numpy()[which]})
 
     asked = good.where(F.col("vec_id") % every == 0).mapInPandas(visit, "cell int, block int, vec_id long, v array<double>")
 
