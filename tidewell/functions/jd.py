@@ -7,11 +7,12 @@ import re
 from tidewell.functions import textscore as t
 
 
-def _p(patterns):
+def pattern(patterns):
+    """Any of the patterns as whole words; group 1 is what was found."""
     return re.compile(t.whole_words(patterns).replace("(?iu)", "").replace(r"[\p{L}\p{N}_]", r"\w"), re.I)
 
 
-_HEADINGS, _LABELS, _APPLY, _READER = _p(t.HEADINGS), _p(t.LABELS), _p(t.APPLY), _p(t.READER)
+_HEADINGS, _LABELS, _APPLY, _READER = map(pattern, (t.HEADINGS, t.LABELS, t.APPLY, t.READER))
 _EQUAL, _CLOSED = re.compile(t.EQUAL, re.I), re.compile("|".join(t.CLOSED), re.I)
 
 
@@ -33,3 +34,8 @@ def score(text: str, items: int = 0) -> float:
         + (bullets >= 4)
         - 4 * bool(_CLOSED.search(text[:3000]))
     )
+
+
+def is_closed(text: str) -> bool:
+    """As textscore.is_closed."""
+    return bool(_CLOSED.search(text[:3000]))
