@@ -203,62 +203,64 @@ def _parts(url: Column) -> Column:
     return F.struct(F.regexp_replace(urls.host(url), r"^.*@|:\d+$", "").alias("h"), urls.path(url).alias("p"), urls.query(url).alias("q"))
 
 
-def _by_rule(rule: Rule, u: Column) -> Column:
-    """The slug by one rule of a URL's parts, or NULL; the host is tested first."""
-
-    def checked(v):
-        parts = [v[f"c{k}"] for k in range(len(rule.parts))]
-        ok = F.lit(True)
-        for p in parts:
-            ok = ok & (F.coalesce(p, F.lit("")) != "")
-        named = next(p for p, spec in zip(parts, rule.parts, strict=True) if not spec.startswith("="))
-        if rule.reserved:
-            ok = ok & ~F.lower(named).isin(*RESERVED)
-        if rule.unlike:
-            ok = ok & ~F.lower(named).isin(*rule.unlike)
-        for k in rule.real:
-            ok = ok & is_real(parts[k])
-        slug = parts[0] if len(parts) == 1 else F.concat_ws("|", *parts)
-        if rule.shape:
-            ok = ok & slug.rlike(rule.shape)
-        return F.when(ok, slug)
-
-    match = u["h"].rlike(rule.host)
+def _by_rule(rule: Rule, u: Column) -> tuple[Column, Column]:
+    """Whether a rule knows a URL of parts u, and its slug then; the host is tested before all else."""
+    parts = [_part(spec, rule, u["q"], u["h"], u["p"]) for spec in rule.parts]
+    ok = u["h"].rlike(rule.host)
     if rule.path:
-        match = match & u["p"].rlike(rule.path)
-    values = F.struct(*[_part(spec, rule, u["q"], u["h"], u["p"]).alias(f"c{k}") for k, spec in enumerate(rule.parts)])
-    return F.when(match, urls.let(values, checked))
+        ok = ok & u["p"].rlike(rule.path)
+    for p, spec in zip(parts, rule.parts, strict=True):
+        if not spec.startswith("="):
+            ok = ok & (F.coalesce(p, F.lit("")) != "")
+    named = next(p for p, spec in zip(parts, rule.parts, strict=True) if not spec.startswith("="))
+    barred = (*(RESERVED if rule.reserved else ()), *rule.unlike)
+    if barred:
+        ok = ok & ~F.lower(named).isin(*dict.fromkeys(barred))
+    for k in rule.real:
+        ok = ok & is_real(parts[k])
+    slug = parts[0] if len(parts) == 1 else F.concat_ws("|", *parts)
+    if rule.shape:
+        ok = ok & slug.rlike(rule.shape)
+    return ok, slug
 
 
 #: Any host that some rule knows: one test spares all others.
 ANY_HOST = "|".join(f"(?:{h})" for h in dict.fromkeys(r.host for r in RULES))
 
 
+def _first(rules, u: Column) -> Column:
+    """The slug by the first of the rules that knows the URL."""
+    out = None
+    for r in rules:
+        ok, slug = _by_rule(r, u)
+        out = F.when(ok, slug) if out is None else out.when(ok, slug)
+    return out
+
+
 def platform_slug(platform: str, url: Column) -> Column:
     """The slug of a URL on one platform: its rules in turn."""
-    return urls.let(_parts(url), lambda u: F.coalesce(*[_by_rule(r, u) for r in RULES if r.platform == platform]))
+    return urls.let(_parts(url), lambda u: _first([r for r in RULES if r.platform == platform], u))
 
 
 def first_match(url: Column) -> Column:
     """(ats, slug) of the first platform that knows the URL, NULL if none does."""
 
     def found(u):
-        values = [urls.let(_by_rule(r, u), _tagged(r.platform)) for r in RULES]
-        return F.when(u["h"].rlike(ANY_HOST), F.coalesce(*values))
+        out = F.when(~u["h"].rlike(ANY_HOST), F.lit(None).cast("struct<ats:string,slug:string>"))
+        for r in RULES:
+            ok, slug = _by_rule(r, u)
+            out = out.when(ok, F.struct(F.lit(r.platform).alias("ats"), slug.alias("slug")))
+        return out
 
     return urls.let(_parts(url), found)
 
 
-def _tagged(platform: str):
-    return lambda s: F.when(s.isNotNull(), F.struct(F.lit(platform).alias("ats"), s.alias("slug")))
-
-
 def all_matches(url: Column) -> Column:
     """Array of (ats, slug), one for each platform that knows the URL."""
 
     def found(u):
-        each = [F.struct(F.lit(p).alias("ats"), F.coalesce(*[_by_rule(r, u) for r in RULES if r.platform == p]).alias("slug")) for p in PLATFORMS]
-        return F.filter(F.array(*each), lambda x: x["slug"].isNotNull())
+        each = [F.struct(F.lit(p).alias("ats"), _first([r for r in RULES if r.platform == p], u).alias("slug")) for p in PLATFORMS]
+        return F.when(u["h"].rlike(ANY_HOST), F.filter(F.array(*each), lambda x: x["slug"].isNotNull())).otherwise(F.array().cast("array<struct<ats:string,slug:string>>"))
 
     return urls.let(_parts(url), found)
 

@@ -35,7 +35,8 @@ def links(spark: SparkSession, d: str) -> DataFrame:
 
 def page_boards(spark: SparkSession, d: str) -> DataFrame:
     """Boards that the links of pages lead to, native filter before the rules."""
-    return links(spark, d).withColumn("m", slugs.first_match(F.col("url"))).where("m is not null").select("page_id", "m.ats", "m.slug").distinct()
+    found = F.array_compact(F.array(slugs.first_match(F.col("url"))))
+    return links(spark, d).select("page_id", F.explode(found).alias("m")).select("page_id", "m.ats", "m.slug").distinct()
 
 
 def page_postings(spark: SparkSession, d: str) -> DataFrame:

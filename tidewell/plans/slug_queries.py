@@ -100,7 +100,8 @@ SLUGS = f"select cast(k as integer) as k, url, platform, cast(slug as varchar) a
 def slug_first(spark: SparkSession, d: str) -> DataFrame:
     """The first platform that knows each address of pages or examples."""
     rows = spark.createDataFrame([(u,) for u, _, _ in EXAMPLES], "url string").unionByName(spark.read.parquet(f"{d}/pages.parquet").select("url"))
-    return rows.withColumn("m", slugs.first_match(F.col("url"))).where("m is not null").select("url", "m.ats", "m.slug")
+    # An array of one or none, so that the rules run once for each row.
+    return rows.select("url", F.explode(F.array_compact(F.array(slugs.first_match(F.col("url"))))).alias("m")).select("url", "m.ats", "m.slug")
 
 
 QUERIES = {"slug_rules": (slug_rules, SLUGS), "slug_first": (slug_first, None)}
