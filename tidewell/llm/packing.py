@@ -29,7 +29,7 @@ QUERY = "op2_packing"
 #: Tokens of a window, and the id that ends every document.
 WINDOW, END = 2048, 1
 #: Distinct stretches of text a worker remembers with their ids, in two generations.
-MEMORY = 500_000
+MEMORY = 700_000
 #: Partition totals up to this number are broadcast, others joined by shuffle.
 BROADCAST_TOTALS = 100_000
 
