@@ -29,8 +29,8 @@ def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that stand on many sites."""
-    return _columns(lines.clean(docs))
+    """Documents without the lines that stand on many sites, however many of a document's they are."""
+    return _columns(lines.clean(docs, most=None))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -104,6 +104,22 @@ def test_lines_are_exact(frame, sites):
     assert got.columns[:-1] == frame(rows).columns
 
 
+def test_lines_leave_the_most_affected_pages(spark, frame):
+    """A short article under a long notice loses the notice; copies of a whole text stay."""
+    import corpus_pipeline
+
+    notice = "\n".join(f"long notice line {k} of every site" for k in range(4))
+    copy = "a copied article\nwith its second line"
+    rows = [(i, f"own article {i} of a page\n{notice}", f"s{i}") for i in range(12)] + [(20 + i, copy, f"s{i}") for i in range(12)]
+    rows += [(40, notice, "s1"), (41, notice + "\n" + copy, "s2"), (42, None, "s3"), (43, "", "s4")]
+    got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in corpus_pipeline.drop_boilerplate(spark, frame(rows), "").collect()}
+    assert len(got) == len(rows)
+    for i in range(12):
+        text = f"own article {i} of a page"
+        assert got[i] == (text, len(text)) and got[20 + i] == (copy, len(copy))
+    assert got[40] == got[41] == got[43] == ("", 0) and got[42][0] is None
+
+
 def test_lines_empty(empty):
     assert lines.clean(empty).count() == 0
 

@@ -7,7 +7,9 @@ near it get exact distinct counts. A document loses its boilerplate lines.
 
 A document more than MOST of whose characters stand on boilerplate lines is a copy of
 a widely copied document rather than a page with boilerplate; it stays as it is, for
-near-duplicate removal to judge.
+near-duplicate removal to judge. With most=None every document loses its boilerplate
+lines; only a text that stands on so many sites as a whole, equal to the letter, is a
+copy and stays.
 
 Defined results: a null text stays null, an empty one empty. Lines are compared without
 the white space around them; empty lines are never boilerplate, and kept lines stay as
@@ -55,10 +57,14 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(BROADCAST_LINES + 1).count() <= BROADCAST_LINES else df
 
 
+def _site() -> Column:
+    """A row's site; a null source is a site of its own."""
+    return F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("null"))
+
+
 def boilerplate(docs: DataFrame, sites: int = SITES, margin: float = MARGIN) -> DataFrame:
     """(h1, h2) of the lines that stand on so many distinct sites."""
-    site = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("null"))
-    lines = lines_of(docs.select("text", site.alias("site")), "site")
+    lines = lines_of(docs.select("text", _site().alias("site")), "site")
     spread = lines.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.hll_sketch_agg("site", BITS).alias("sketch")).where(F.col("n") >= sites)
     found = spread.select("h1", "h2", F.hll_sketch_estimate("sketch").alias("estimate")).where(F.col("estimate") >= sites * (1 - margin))
     found = common.table(found, "spread")
@@ -70,10 +76,19 @@ def boilerplate(docs: DataFrame, sites: int = SITES, margin: float = MARGIN) ->
     return common.table(sure.unionByName(exact), "boilerplate")
 
 
-def clean(docs: DataFrame, sites: int = SITES, most: float = MOST) -> DataFrame:
+def copied(docs: DataFrame, sites: int = SITES) -> DataFrame:
+    """(h1, h2) of the whole texts that stand on so many distinct sites."""
+    h1, h2 = key(F.col("text"))
+    rows = docs.where("text <> ''").select(h1.alias("h1"), h2.alias("h2"), _site().alias("site"))
+    spread = rows.groupBy("h1", "h2", "site").agg(F.count("*").alias("n")).groupBy("h1", "h2").agg(F.count("*").alias("sites"))
+    return common.table(spread.where(F.col("sites") >= sites).select("h1", "h2"), "copied")
+
+
+def clean(docs: DataFrame, sites: int = SITES, most: float | None = MOST) -> DataFrame:
     """docs with text without boilerplate lines, and removed, the number of lines gone.
 
-    A column n_chars follows the text. Rows meet their hashes again by a hash of id
+    most is the share of boilerplate beyond which a document stays as it is; with None
+    none does but texts that are widely copied as a whole. A column n_chars follows the text. Rows meet their hashes again by a hash of id
     and text, which spreads copies of one text.
     """
     bad = boilerplate(docs, sites)
@@ -89,7 +104,14 @@ def clean(docs: DataFrame, sites: int = SITES, most: float = MOST) -> DataFrame:
     some = joined.withColumn("__parts", F.when(F.col("__bad").isNotNull(), parts))
     total = F.aggregate("__parts", F.lit(0).cast("long"), lambda a, p: a + p["n"])
     lost = F.aggregate("__parts", F.lit(0).cast("long"), lambda a, p: a + F.when(p["bad"], p["n"]).otherwise(0))
-    some = some.withColumn("__cut", F.coalesce(lost <= total * most, F.lit(False)))
+    if most is None:
+        h1, h2 = key(F.col("text"))
+        whole = _small(copied(docs, sites)).select(F.col("h1").alias("__w1"), F.col("h2").alias("__w2"), F.lit(True).alias("__copied"))
+        some = some.join(whole, (h1 == F.col("__w1")) & (h2 == F.col("__w2")), "left")
+        cut = F.col("__bad").isNotNull() & F.col("__copied").isNull()
+    else:
+        cut = lost <= total * most
+    some = some.withColumn("__cut", F.coalesce(cut, F.lit(False)))
     text = F.when(F.col("__cut"), F.array_join(F.transform(F.filter("__parts", lambda p: ~p["bad"]), lambda p: p["line"]), "\n")).otherwise(F.col("text"))
     removed = F.when(F.col("__cut"), F.size(F.filter("__parts", lambda p: p["bad"]))).otherwise(0)
     columns = [text.alias("text") if c == "text" else F.col(c) for c in docs.columns]
