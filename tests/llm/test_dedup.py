@@ -184,6 +184,37 @@ def test_near_copies(frame):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(least.values()) and kept.columns == frame(rows).columns
 
 
+def similar_pairs(texts):
+    """Pairs of texts at edit similarity 0.8 over words, by brute force."""
+    words = neardup.Words()
+    w = [words(t) for t in texts]
+    return {(i, j) for i in range(len(w)) for j in range(i) if neardup.distance_within(w[i], w[j], m := int(0.2 * max(len(w[i]), len(w[j])) + 1e-9)) <= m}
+
+
+def test_every_member_of_a_bucket_is_compared(frame):
+    """Many texts of one template, pairs of them near copies: none is dropped after some leaders."""
+    passage = prose(170)
+    texts = []
+    for _ in range(40):
+        own = prose(70)
+        texts += [f"{passage} {own}", f"{passage} {edited(own, 15)}"]
+    R.shuffle(texts)
+    out, _ = neardup.classes(frame([(i, t, "s") for i, t in enumerate(texts)]))
+    got = {r["doc_id"]: r["class_id"] for r in out.collect()}
+    want = similar_pairs(texts)
+    assert len(want) == 40 and all(got[i] == got[j] for i, j in want) and len(set(got.values())) == 40
+
+
+def test_bound_by_counts_never_rejects():
+    words = neardup.Words()
+    texts = [prose(100) for _ in range(5)]
+    texts += [edited(t, k) for t in texts for k in (3, 10, 20, 30)] + ["", "a", "a a a a"]
+    w = [words(t) for t in texts]
+    sizes, counts = np.array([len(x) for x in w]), np.array([neardup.word_counts(x) for x in w])
+    may = neardup.may_be_similar(sizes, counts, sizes, counts, np.ones((len(w), len(w)), bool))
+    assert all(may[i, j] for i in range(len(w)) for j in range(len(w)) if neardup.similar(w[i], w[j])) and not may.all()
+
+
 def test_near_copies_odd(frame, odd, empty):
     out, _ = neardup.classes(odd)
     got = {r["doc_id"]: (r["class_id"], r["copies"]) for r in out.collect()}

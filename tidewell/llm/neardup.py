@@ -1,20 +1,22 @@
 """Near-duplicate documents by Order MinHash, verified by banded alignment.
 
-A text's k-mers are its runs of five words (runs without ASCII white space), each labelled with its occurrence, so that
-repeats differ. A sketch holds, under each of SKETCHES orders of hashes, the KMERS
-least labelled k-mers in the order in which they stand in the text; it is sensitive to
-edits and moves, not to sets alone. Texts that agree in one of them, or in two
-neighbouring ones (a finer bucket), are candidates.
-
-Equal texts are first made one. In every bucket the least id leads, and each member is
-compared with its leader alone: no bucket's pairs are made. A candidate pair counts if
-its edit similarity over words, 1 - distance / longer length, reaches SIMILARITY, by an
-alignment in a band that just holds the edits this allows. Members that fail their
-leader form buckets of their own in the next of ROUNDS rounds. Classes are the
-connected components of the links; a class is named by its least doc_id.
-
-Defined results: null and empty texts are equal texts; texts of fewer than five words
-are one k-mer. Repeated rows are in one class. A null doc_id counts as less than all
+A text's k-mers are its runs of five words (runs without ASCII white space), each
+labelled with its occurrence, so that repeats differ. A sketch holds, under each of
+SKETCHES orders of hashes, the KMERS least labelled k-mers in the order in which they stand in the text; it
+is sensitive to edits and moves, not to sets alone. Texts that agree in one of them
+share a bucket and are candidates.
+
+Equal texts are first made one. A candidate pair counts if its edit similarity over
+words, 1 - distance / longer length, reaches SIMILARITY, by an alignment in a band that
+just holds the edits this allows. First every bucket has a leader, by an order of the
+bucket's own, with whom each member is compared. A bucket whose members are then linked
+to each other, if through other buckets, is settled. In all others every pair that is
+not yet linked is compared: pairs are made in blocks of BLOCK by BLOCK members, and
+those that differ too much in their counts of words to be similar need no alignment.
+Classes are the connected components of the links; a class is named by its least doc_id.
+
+Defined results: null and empty texts are equal texts; texts of fewer words than a
+k-mer are one k-mer. Repeated rows are in one class. A null doc_id counts as less than all
 others. Further columns are kept by deduplicate().
 """
 
@@ -33,8 +35,12 @@ QUERY = "op7_neardup"
 WORDS, SIMILARITY = 5, 0.8
 #: Orders of hashes, and k-mers sampled under each.
 SKETCHES, KMERS = 12, 2
-#: Rounds of leaders; rounds of labels after which something must be wrong (they halve every path).
-ROUNDS, MOST_JOINS = 3, 300
+#: Places of a text's counts of words; members on a side of a block of pairs.
+PLACES, BLOCK = 128, 256
+#: Edits up to which an alignment follows diagonals rather than columns.
+FEW = 6
+#: Rounds of labels after which something must be wrong (they halve every path).
+MOST_JOINS = 300
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -79,12 +85,12 @@ class Words:
         return _mixed(sums + lengths * _ODD)
 
 
-def kmers(words: np.ndarray) -> np.ndarray:
+def kmers(words: np.ndarray, size: int = WORDS) -> np.ndarray:
     """Hashes of the occurrence-labelled k-mers, in order of the text."""
     n = len(words)
     if n == 0:
         return np.zeros(1, np.uint64)
-    k = min(WORDS, n)
+    k = min(size, n)
     h = np.zeros(n - k + 1, np.uint64)
     for j in range(k):
         h = _mixed(h + words[j : n - k + 1 + j] + _ODD)
@@ -99,9 +105,9 @@ def kmers(words: np.ndarray) -> np.ndarray:
     return h
 
 
-def order_min_hash(words: np.ndarray, sketches: int = SKETCHES, sampled: int = KMERS) -> np.ndarray:
+def order_min_hash(words: np.ndarray, sketches: int = SKETCHES, sampled: int = KMERS, size: int = WORDS) -> np.ndarray:
     """One 64-bit number for each sketch: the sampled k-mers in order of the text."""
-    h = kmers(words)
+    h = kmers(words, size)
     take = min(sampled, len(h))
     seeds = _seeds(sketches)
     x = _mixed(h ^ seeds[:, None])
@@ -113,6 +119,29 @@ def order_min_hash(words: np.ndarray, sketches: int = SKETCHES, sampled: int = K
     return number
 
 
+def band_values(words: np.ndarray) -> np.ndarray:
+    """The numbers of a text's buckets: its sketches."""
+    return order_min_hash(words)
+
+
+def word_counts(words: np.ndarray) -> np.ndarray:
+    """Counts of words by PLACES, dealt by their hashes; capped, which only lessens differences."""
+    return np.minimum(np.bincount((words % np.uint64(PLACES)).astype(np.int64), minlength=PLACES), 0xFFFF).astype(np.uint16)
+
+
+def may_be_similar(sizes: np.ndarray, counts: np.ndarray, more_sizes: np.ndarray, more_counts: np.ndarray, asked: np.ndarray, similarity: float = SIMILARITY) -> np.ndarray:
+    """Of the pairs asked [i, j], those whose texts can be similar: as far as their counts of words tell, enough is shared."""
+    longest = np.maximum(sizes[:, None], more_sizes[None, :])
+    most = ((1 - similarity) * longest + 1e-9).astype(np.int64)
+    out = asked & (np.abs(sizes[:, None] - more_sizes[None, :]) <= most)
+    beyond = sizes - counts.sum(axis=1, dtype=np.int64)  # words over the cap
+    for i in np.flatnonzero(out.any(axis=1)):
+        js = np.flatnonzero(out[i])
+        shared = np.minimum(counts[i], more_counts[js]).sum(axis=1, dtype=np.int64) + beyond[i]
+        out[i, js] = longest[i, js] - shared <= most[i, js]
+    return out
+
+
 def distance_within(a: np.ndarray, b: np.ndarray, most: int) -> int:
     """Edit distance over words if it is at most most, else most + 1: alignment in a band about the diagonal."""
     if len(a) > len(b):
@@ -138,7 +167,35 @@ def distance_within(a: np.ndarray, b: np.ndarray, most: int) -> int:
     shared = int(np.minimum(np.bincount(which[:n], minlength=size), np.bincount(which[n:], minlength=size)).sum())
     if m - shared > most:
         return most + 1
-    return _along_diagonals(which[:n], which[n:], most)
+    if most <= FEW:
+        return _along_diagonals(which[:n], which[n:], most)
+    return _by_bits(which[:n].tolist(), which[n:].tolist(), most)
+
+
+def _by_bits(a: list[int], b: list[int], most: int) -> int:
+    """Edit distance if it is at most most, else most + 1: a column of the alignment is two numbers, of a bit a row."""
+    n, m = len(a), len(b)
+    full, high = (1 << n) - 1, 1 << (n - 1)
+    places: dict[int, int] = {}
+    for i, x in enumerate(a):
+        places[x] = places.get(x, 0) | 1 << i
+    up, down, distance = full, 0, n
+    for j, y in enumerate(b, 1):
+        same = places.get(y, 0)
+        either = same | down
+        across = (((same & up) + up) ^ up) | same
+        more = down | (full & ~(across | up))
+        less = up & across
+        if more & high:
+            distance += 1
+        elif less & high:
+            distance -= 1
+        if distance - (m - j) > most:
+            return most + 1
+        more = more << 1 | 1
+        up = (less << 1 | ~(either | more)) & full
+        down = more & either & full
+    return distance if distance <= most else most + 1
 
 
 def _along_diagonals(a: np.ndarray, b: np.ndarray, most: int) -> int:
@@ -237,17 +294,52 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """(t1, t2, keys): sketch numbers of every distinct text."""
+    """(t1, t2, keys, size, counts): bucket numbers, number of words and their counts for every text."""
     common.bound_batches(docs.sparkSession)
     source = _texts(docs).select("t1", "t2", "text")
 
     def run(batches):
         words = common.worker_state("neardup_words", Words)
         for batch in batches:
-            keys = [order_min_hash(words(t)).view(np.int64) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("t1"), batch.column("t2"), pa.array(keys, pa.list_(pa.int64()))], names=["t1", "t2", "keys"])
+            texts = [words(t) for t in batch.column("text").to_pylist()]
+            keys = pa.array([band_values(w).view(np.int64) for w in texts], pa.list_(pa.int64()))
+            sizes = pa.array([len(w) for w in texts], pa.int32())
+            counts = pa.array([word_counts(w).tobytes() for w in texts], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("t1"), batch.column("t2"), keys, sizes, counts], names=["t1", "t2", "keys", "size", "counts"])
+
+    return source.mapInArrow(run, "t1 long, t2 long, keys array<long>, size int, counts binary")
+
+
+def unlinked_pairs(members: DataFrame) -> DataFrame:
+    """Pairs (a, b) of a bucket's members that are not linked yet and can be similar; members: (band, value, n, node, root, size, counts).
 
-    return source.mapInArrow(run, "t1 long, t2 long, keys array<long>")
+    A bucket of n members is dealt into blocks, and every two blocks meet in a task of
+    their own, so that no task holds more than two blocks.
+    """
+    parts = F.ceil(F.col("n") / BLOCK).cast("int")
+    dealt = members.withColumn("parts", parts).withColumn("own", F.pmod(F.xxhash64("node", F.lit("block")), F.col("parts")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    ends = [F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")]
+    held = F.collect_list(F.struct("own", "node", "root", "size", "counts")).alias("held")
+    blocks = dealt.groupBy("band", "value", *ends).agg(held).where(F.size("held") > 1).select("low", "high", "held")
+
+    def run(batches):
+        for batch in batches:
+            for at in range(batch.num_rows):
+                low, high = batch.column("low")[at].as_py(), batch.column("high")[at].as_py()
+                rows = batch.column("held")[at].values
+                own, node, root, size = (rows.field(k).to_numpy(zero_copy_only=False) for k in range(4))
+                size = size.astype(np.int64)
+                counts = np.frombuffer(b"".join(rows.field(4).to_pylist()), np.uint16).reshape(len(own), -1)
+                x, y = np.flatnonzero(own == low), np.flatnonzero(own == high)
+                asked = root[x][:, None] != root[y][None, :]
+                if low == high:
+                    asked = np.triu(asked, 1)
+                i, j = np.nonzero(may_be_similar(size[x], counts[x], size[y], counts[y], asked))
+                first, second = node[x[i]], node[y[j]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(first, second)), pa.array(np.maximum(first, second))], names=["a", "b"])
+
+    return blocks.mapInArrow(run, "a long, b long").distinct()
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -320,30 +412,34 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     members = common.table(named.groupBy("doc_id", "t1", "t2").agg(F.count("*").alias("copies")), "members")
     # A node is a distinct text, known by one of its hashes; another hash tells a collision apart.
     nodes = members.groupBy("t1", "t2").agg(F.min("doc_id").alias("least"), F.max("copies").alias("repeats"))
-    keyed = sketches(docs).groupBy("t1", "t2").agg(F.min("keys").alias("keys"))
+    keyed = sketches(docs).groupBy("t1", "t2").agg(F.min("keys").alias("keys"), F.min("size").alias("size"), F.min("counts").alias("counts"))
     keyed = common.table(keyed, "sketches")
     node = F.xxhash64("t1", "t2")
-    finer = F.expr(f"transform(sequence(0, {SKETCHES} - 1), i -> struct(i + {SKETCHES} as band, xxhash64(keys[i], keys[(i + 1) % {SKETCHES}]) as value))")
-    coarse = F.expr(f"transform(sequence(0, {SKETCHES} - 1), i -> struct(i as band, keys[i] as value))")
-    buckets = keyed.select(node.alias("node"), F.explode(F.concat(coarse, finer)).alias("k")).select("node", "k.band", "k.value")
-    links, open_buckets, texts = None, buckets, None
-    for step in range(ROUNDS):
-        leaders = open_buckets.groupBy("band", "value").agg(F.min("node").alias("leader"), F.count("*").alias("n")).where("n > 1").select("band", "value", "leader")
-        led = open_buckets.join(leaders, ["band", "value"]).where("node <> leader")
-        led = common.table(led, "led")
-        pairs = led.select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-        if texts is None:
-            texts = _texts_of(docs, nodes, pairs, node)
-        judged = common.table(_verified(pairs, texts), "judged")
-        good = judged.where("ok").select("a", "b")
-        links = good if links is None else links.unionByName(good)
-        if step + 1 == ROUNDS:
-            break
-        failed = judged.where("not ok").select(F.col("a").alias("leader"), F.col("b").alias("node"))
-        if not failed.limit(1).count():
-            break
-        open_buckets = common.table(led.join(failed, ["leader", "node"], "left_semi").select("node", "band", "value"), "open")
+    bands = F.expr("transform(keys, (k, i) -> struct(i as band, k as value))")
+    buckets = keyed.select(node.alias("node"), "size", F.explode(bands).alias("k")).select("node", "size", "k.band", "k.value")
+    # The order that makes a leader is the band's own: a text that leads in one does not lead in all.
+    order = F.struct(F.xxhash64("node", "band").alias("by"), "node", "size")
+    leaders = buckets.groupBy("band", "value").agg(F.min(order).alias("l"), F.count("*").alias("n")).where("n > 1")
+    leaders = leaders.select("band", "value", "n", F.col("l.node").alias("leader"), F.col("l.size").alias("leader_size"))
+    led = common.table(buckets.join(leaders, ["band", "value"]), "led")
+    longest = F.greatest("size", "leader_size")
+    close = F.abs(F.col("size") - F.col("leader_size")) <= F.floor(F.lit(1 - SIMILARITY) * longest + F.lit(1e-9))
+    pairs = led.where((F.col("node") != F.col("leader")) & close).select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
+    judged = common.table(_verified(pairs, _texts_of(docs, nodes, pairs, node)), "judged")
+    links = judged.where("ok").select("a", "b")
     roots = components(links)
+    # Of two members one led. In larger buckets only linked members are settled.
+    rooted = led.where("n > 2").join(roots, "node", "left").select("band", "value", "n", "node", F.coalesce("root", "node").alias("root"))
+    rooted = common.table(rooted, "rooted")
+    unsettled = rooted.groupBy("band", "value").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most").select("band", "value")
+    still = rooted.join(unsettled, ["band", "value"]).join(keyed.select(node.alias("node"), "size", "counts"), "node")
+    rest = unlinked_pairs(still).join(judged.select("a", "b"), ["a", "b"], "left_anti")
+    rest = common.table(rest, "rest")
+    if rest.limit(1).count():
+        found = common.table(_verified(rest, _texts_of(docs, nodes, rest, node)), "judged").where("ok").select("a", "b")
+        if found.limit(1).count():
+            links = links.unionByName(found)
+            roots = components(links)
     where = nodes.select(node.alias("node"), "t1", "t2", "least")
     rooted = where.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named_class = rooted.groupBy("root").agg(F.min("least").alias("class_id"))
