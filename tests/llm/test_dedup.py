@@ -205,6 +205,18 @@ def test_every_member_of_a_bucket_is_compared(frame):
     assert len(want) == 40 and all(got[i] == got[j] for i, j in want) and len(set(got.values())) == 40
 
 
+def test_scattered_edits_share_a_bucket():
+    """At an edit similarity of 0.8 by substitutions anywhere, hardly a pair shares no bucket."""
+    words, met = neardup.Words(), 0
+    for _ in range(150):
+        a = prose(240).split()
+        b = list(a)
+        for i in R.sample(range(240), 48):
+            b[i] = "other"
+        met += bool((neardup.band_values(words(" ".join(a))) == neardup.band_values(words(" ".join(b)))).any())
+    assert met >= 0.95 * 150
+
+
 def test_bound_by_counts_never_rejects():
     words = neardup.Words()
     texts = [prose(100) for _ in range(5)]

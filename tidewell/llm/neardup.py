@@ -1,8 +1,9 @@
 """Near-duplicate documents by Order MinHash, verified by banded alignment.
 
-A text's k-mers are its runs of five words (runs without ASCII white space), each
-labelled with its occurrence, so that repeats differ. A sketch holds, under each of
-SKETCHES orders of hashes, the KMERS least labelled k-mers in the order in which they stand in the text; it
+A text's k-mers are its runs of five and of three words (runs without ASCII white
+space), each labelled with its occurrence, so that repeats differ. A sketch holds,
+under each of SKETCHES orders of hashes for the long and SHORT_SKETCHES for the short
+ones, the KMERS least labelled k-mers in the order in which they stand in the text; it
 is sensitive to edits and moves, not to sets alone. Texts that agree in one of them
 share a bucket and are candidates.
 
@@ -35,6 +36,8 @@ QUERY = "op7_neardup"
 WORDS, SIMILARITY = 5, 0.8
 #: Orders of hashes, and k-mers sampled under each.
 SKETCHES, KMERS = 12, 2
+#: Words of a short k-mer, and orders of hashes for those.
+SHORT, SHORT_SKETCHES = 3, 32
 #: Places of a text's counts of words; members on a side of a block of pairs.
 PLACES, BLOCK = 128, 256
 #: Edits up to which an alignment follows diagonals rather than columns.
@@ -101,7 +104,8 @@ def kmers(words: np.ndarray, size: int = WORDS) -> np.ndarray:
         start = np.maximum.accumulate(np.where(fresh, np.arange(len(h)), 0))
         label = np.empty(len(h), np.uint64)
         label[order] = (np.arange(len(h)) - start).astype(np.uint64)
-        h = _mixed(h + label * _ODD)
+        # First occurrences keep their number: another text may have the k-mer once.
+        h = np.where(label > 0, _mixed(h + label * _ODD), h)
     return h
 
 
@@ -120,8 +124,8 @@ def order_min_hash(words: np.ndarray, sketches: int = SKETCHES, sampled: int = K
 
 
 def band_values(words: np.ndarray) -> np.ndarray:
-    """The numbers of a text's buckets: its sketches."""
-    return order_min_hash(words)
+    """The numbers of a text's buckets: its sketches of long, then of short k-mers."""
+    return np.concatenate([order_min_hash(words), order_min_hash(words, SHORT_SKETCHES, KMERS, SHORT)])
 
 
 def word_counts(words: np.ndarray) -> np.ndarray:
