@@ -157,6 +157,13 @@ def test_stretches():
     assert html_text.stretches([5, 0, 0, 0, 0, 9]) == [(3, 6)] and html_text.stretches([]) == []
 
 
+def test_short_paragraph_between_long_ones():
+    """Unmarked pages keep a short stretch between two that surge, none before or after."""
+    long, ad = "<p>" + "word " * 40 + "</p>", "<div class=ad>Buy</div>"
+    text = ("word " * 40).strip()
+    assert html_text.main_text(f"<p>before</p>{ad}{long}{ad}<p>Short but real.</p>{ad}{long}{ad}<p>after</p>") == f"{text}\nShort but real.\n{text}"
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.text(alphabet="<>/ab pdivtrl='\"&;!-", max_size=80))
 def test_pages_never_fail(text):

@@ -5,8 +5,9 @@ than the article (menus, headers, footers, asides, notices, adverts, forms, comm
 leaves empty lines. The lengths of the lines are summed over sliding windows. Text
 starts where a window's sum surges over a threshold and ends where windows dive to
 nothing; lines between the two points are kept, every such stretch of a page that has
-one. If the page marks an article or main element, lines outside it count as empty.
-If no window surges, the stretch with the most text is kept.
+one, and shorter stretches between two that surge. If no window surges, the stretch
+with the most text is kept. If the page marks an article or main element, its borders
+replace the surge and dive points: all lines inside that are not beside it are kept.
 
 Defined results: a null html is an empty page and gives an empty text, as does a page
 without text. Rows stand alone: repeats and order do not matter. Further columns are
@@ -179,7 +180,7 @@ def lines_of(page: str) -> tuple[list[tuple[str, bool, bool]], bool]:
 
 
 def stretches(lengths: list[int], block: int = BLOCK, surge: int = SURGE) -> list[tuple[int, int]]:
-    """Surge and dive points: lines [from, to) whose windows stay above nothing around one that surges."""
+    """Surge and dive points: lines [from, to) whose windows stay above nothing around one that surges, or between two such."""
     n = len(lengths)
     sums, total = [], sum(lengths[:block])
     for i in range(n):
@@ -196,7 +197,8 @@ def stretches(lengths: list[int], block: int = BLOCK, surge: int = SURGE) -> lis
             k += 1
         found.append((i, min(n, k), top, sum(lengths[i:k])))
         i = k
-    risen = [(a, b) for a, b, top, _ in found if top >= surge]
+    high = [k for k, f in enumerate(found) if f[2] >= surge]
+    risen = [f[:2] for f in found[high[0] : high[-1] + 1]] if high else []
     if not risen and found:
         best = max(found, key=lambda f: (f[3], -f[0]))
         risen = [best[:2]]
@@ -213,11 +215,8 @@ def main_text(page: str | None) -> str:
     texts = [t if not beside and (inside or not marked) else "" for t, beside, inside in lines]
     if not any(texts):
         return ""
-    if marked:
-        # Markup has drawn the borders; the distribution only finds where text stands between them.
-        spans = stretches([len(t) for t in texts], surge=1)
-    else:
-        spans = stretches([len(t) for t in texts])
+    # Where markup has drawn the borders, they are the surge and dive points.
+    spans = [(0, len(texts))] if marked else stretches([len(t) for t in texts])
     return "\n".join(t for a, b in spans for t in texts[a:b] if t)
 
 
