@@ -121,6 +121,28 @@ def test_automaton_parses_greedily():
             assert round(cost[0, k] * sizes[0] / parser.bits[k]) == slow(text, s), (text, s)
 
 
+def test_every_learned_character_counts():
+    """Two languages of one frequent alphabet and many rare letters each: the rare ones tell them apart."""
+    common = "abcdefghijklmnopqrstuvwxyzàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿāăąćĉċč" * 40
+    one, two = (" ".join(chr(start + k) + chr(start + (7 * k + 1) % 400) for k in range(400)) for start in (0x4E00, 0x6000))
+    high = "".join(map(chr, range(0x20000, 0x20080)))
+    parser = language.CrossParser({"one": common + one, "two": common + two, "xhigh": high})
+    assert len(set(parser.symbols.of.values())) == parser.symbols.size - 1 > 800
+    assert parser.predict([one[300:600], two[300:600], high[20:60]])[0] == ["one", "two", "xhigh"]
+    got, numbers = language.letters("a " + one[:9] + high[:3]), parser.symbols.numbers("a " + one[:9] + high[:3])
+    assert list(numbers) == [parser.symbols.of[c] for c in got] and min(numbers) > 0
+    for text in (one[:50] + "!" + two[:50], "abc" + high[5:9] + "zzz \u3042"):
+        costs, sizes = parser.costs([text])
+        for k, sample in enumerate([common + one, common + two, high]):
+            count, at = 0, ""
+            for c in language.letters(text):
+                if at + c in sample:
+                    at += c
+                else:
+                    count, at = count + 1, c if c in sample else ""
+            assert round(costs[0, k] * sizes[0] / parser.bits[k]) == count + 1
+
+
 def test_letters_as_numbers():
     parser = language.CrossParser({"x": "abc def é"})
     for text in ("a b", "  a,, b!! ", "", "!!", "é", "x", "ab ", " ab", "\U0001d400 a", "a1b"):

@@ -27,7 +27,7 @@ QUERY = "op4_language"
 
 #: Learned from at most so many documents and so many letters and spaces of a language.
 SAMPLE_DOCUMENTS, SAMPLE_CHARS = 120, 30_000
-#: Characters with a symbol of their own; the rest share one.
+#: Symbols with a column of their own in the tables of transitions; those of others are sorted pairs.
 ALPHABET = 62
 #: A text is parsed in stretches of this many characters, at whose ends a phrase ends too.
 STRETCH = 512
@@ -41,17 +41,18 @@ def letters(text: str) -> str:
 
 
 class Symbols:
-    """Numbers for characters: 1.. for the most frequent learned ones, 0 for all others."""
+    """Numbers for characters: 1.. for the learned ones, most frequent first, 0 for all others."""
 
     def __init__(self, samples: dict[str, str]):
         counts: dict[str, int] = {}
         for text in samples.values():
             for c in text:
                 counts[c] = counts.get(c, 0) + 1
-        known = sorted(counts, key=lambda c: (-counts[c], c))[:ALPHABET]
+        known = sorted(counts, key=lambda c: (-counts[c], c))
         self.size = len(known) + 1
+        self.wide = min(self.size, ALPHABET + 1)
         self.of = {c: k + 1 for k, c in enumerate(known)}
-        self.table = np.zeros(0x10000, np.uint8)
+        self.table = np.zeros(0x10000, np.int32)
         for c, k in self.of.items():
             if ord(c) < 0x10000:
                 self.table[ord(c)] = k
@@ -68,7 +69,8 @@ class Symbols:
         if len(beyond):
             is_letter[beyond] = [chr(c).isalpha() for c in codes[beyond].tolist()]
         out = self.table[low]
-        out[codes > 0xFFFF] = 0
+        if len(beyond):
+            out[beyond] = [self.of.get(chr(c), 0) for c in codes[beyond].tolist()]
         keep = is_letter.copy()
         keep[1:] |= is_letter[:-1]  # the first of a run of others stays, as a space
         out[~is_letter] = self.space
@@ -84,8 +86,8 @@ class Symbols:
         return kept
 
 
-def automaton(numbers: list[int], size: int) -> np.ndarray:
-    """Suffix automaton's transitions [state, symbol]; 0, the root, stands for none."""
+def automaton(numbers: list[int], size: int, wide: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Suffix automaton's transitions: [state, symbol] for symbols below wide, and keys state * size + symbol, sorted, with targets for the others; 0, the root, stands for none."""
     after: list[dict[int, int]] = [{}]
     link, length, last = [-1], [0], 0
     for c in numbers:
@@ -111,11 +113,17 @@ def automaton(numbers: list[int], size: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[now] = twin
         last = now
-    out = np.zeros((len(after), size), np.int32)
+    out = np.zeros((len(after), wide), np.int32)
+    rare = []
     for s, row in enumerate(after):
         for c, to in row.items():
-            out[s, c] = to
-    return out
+            if c < wide:
+                out[s, c] = to
+            else:
+                rare.append((s * size + c, to))
+    # The last key is beyond all others, so that every search ends on one.
+    rare = np.array([*sorted(rare), (len(after) * size, 0)], np.int64)
+    return out.ravel(), rare[:, 0], rare[:, 1].astype(np.int32)
 
 
 class CrossParser:
@@ -128,14 +136,27 @@ class CrossParser:
         self.tables, self.bits = [], []
         for text in samples.values():
             numbers = [self.symbols.of.get(c, 0) for c in text]
-            self.tables.append(automaton(numbers, self.symbols.size).ravel())
+            self.tables.append(automaton(numbers, self.symbols.size, self.symbols.wide))
             self.bits.append(math.log2(len(numbers) + 1))
 
     def phrases(self, stretches: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """[language, stretch] number of phrases; stretches are sorted by falling length."""
         out = np.zeros((len(self.names), len(lengths)), np.int64)
-        width = self.symbols.size
-        for k, table in enumerate(self.tables):
+        size, wide = self.symbols.size, self.symbols.wide
+        rare = stretches >= wide if size > wide else None
+        rare_at = rare.any(axis=0) if rare is not None else np.zeros(stretches.shape[1], bool)
+        for k, (table, keys, targets) in enumerate(self.tables):
+
+            def follow(state: np.ndarray, c: np.ndarray, some: bool) -> np.ndarray:
+                if not some:
+                    return table[state * wide + c]
+                few = c >= wide
+                to = table[state * wide + np.where(few, 0, c)]
+                key = state[few].astype(np.int64) * size + c[few]
+                at = np.searchsorted(keys, key)
+                to[few] = np.where(keys[at] == key, targets[at], 0)
+                return to
+
             state = np.zeros(len(lengths), np.int32)
             count = out[k]
             live = np.searchsorted(-lengths, -np.arange(1, stretches.shape[1] + 1), side="right")
@@ -144,29 +165,29 @@ class CrossParser:
                 if not n:
                     break
                 c = stretches[:n, t]
-                to = table[state[:n] * width + c]
+                to = follow(state[:n], c, rare_at[t])
                 lost = np.flatnonzero(to == 0)
                 if len(lost):
                     count[lost] += 1
-                    to[lost] = table[c[lost]]
+                    to[lost] = follow(np.zeros(len(lost), np.int32), c[lost], rare_at[t])
                 state[:n] = to
             count += 1  # the last phrase
         return out
 
     def costs(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """[text, language] bits a character, and each text's number of characters."""
-        numbers = [self.symbols.numbers(t) if t else np.zeros(0, np.uint8) for t in texts]
+        numbers = [self.symbols.numbers(t) if t else np.zeros(0, np.int32) for t in texts]
         sizes = np.array([len(x) for x in numbers], np.int64)
         pieces = -(-sizes // STRETCH)
         owner = np.repeat(np.arange(len(texts)), pieces)
         total = np.zeros((len(texts), len(self.names)))
-        flat = np.concatenate([np.zeros(0, np.uint8), *numbers])
+        flat = np.concatenate([np.zeros(0, np.int32), *numbers])
         first = np.cumsum(sizes) - sizes
         nth = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
         begin = first[owner] + nth * STRETCH
         length = np.minimum(STRETCH, sizes[owner] - nth * STRETCH)
         order = np.argsort(-length, kind="stable")
-        flat = np.concatenate([flat, np.zeros(STRETCH, np.uint8)])
+        flat = np.concatenate([flat, np.zeros(STRETCH, np.int32)])
         for k in range(0, len(order), SIDE_BY_SIDE):
             some = order[k : k + SIDE_BY_SIDE]
             block = flat[begin[some][:, None] + np.arange(int(length[some[0]]))]
