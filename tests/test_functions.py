@@ -122,3 +122,14 @@ def test_robots(spark):
 def test_deep_find():
     assert readers.deep_find({"a": {"Company-Name": "x"}, "b": 1}, ["company_name"]) == ["a", "Company-Name"]
     assert readers.deep_find({"a": {"b": {}}}, ["c"]) is None
+
+
+def test_page_queries_take_whole_pages(spark, tmp_path):
+    from tidewell.plans import page_queries
+
+    page = "<body><p>" + "word " * 8000 + "last</p>" + "".join(f"<a href='/p{k}'></a>" for k in range(4500)) + "</body>"
+    spark.createDataFrame([(1, "https://ex.com/", page)], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    d = str(tmp_path)
+    for query in (page_queries.strip_html, page_queries.main_text):
+        assert query(spark, d).first()["text"] == "word " * 8000 + "last" and len(query(spark, d, 30_000).first()["text"]) == 30_000
+    assert page_queries.links(spark, d).count() == 4500 and page_queries.links(spark, d, 4000).count() == 4000

@@ -20,17 +20,18 @@ with t as (select page_id, replace(replace(replace(regexp_extract(html, '<h1>(.*
 select page_id, trim(regexp_replace(h1, '\s+', ' ', 'g')) as title from t"""
 
 
-def strip_html(spark: SparkSession, d: str) -> DataFrame:
-    return read(spark, d, "pages").select("page_id", html.udf(html.strip_markup, "string", "html").alias("text"))
+# The queries below take whole pages; the reference's limits are the functions' defaults and arguments here.
+def strip_html(spark: SparkSession, d: str, most: int | None = None) -> DataFrame:
+    return read(spark, d, "pages").select("page_id", html.udf(lambda p: html.strip_markup(p, most), "string", "html").alias("text"))
 
 
-def main_text(spark: SparkSession, d: str) -> DataFrame:
-    both = html.udf(lambda p: [dict(zip(("text", "items"), html.main_text(p), strict=True))], "array<struct<text:string,items:int>>", "html")
+def main_text(spark: SparkSession, d: str, most: int | None = None) -> DataFrame:
+    both = html.udf(lambda p: [dict(zip(("text", "items"), html.main_text(p, most), strict=True))], "array<struct<text:string,items:int>>", "html")
     return read(spark, d, "pages").select("page_id", F.explode(both).alias("m")).select("page_id", "m.text", "m.items")
 
 
-def links(spark: SparkSession, d: str) -> DataFrame:
-    return read(spark, d, "pages").select("page_id", F.explode(html.udf(html.candidate_urls, "array<string>", "html", "url")).alias("url"))
+def links(spark: SparkSession, d: str, most: int | None = None) -> DataFrame:
+    return read(spark, d, "pages").select("page_id", F.explode(html.udf(lambda p, u: html.candidate_urls(p, u, most), "array<string>", "html", "url")).alias("url"))
 
 
 def page_boards(spark: SparkSession, d: str) -> DataFrame:
