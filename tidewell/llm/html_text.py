@@ -314,6 +314,7 @@ def _kept(lines: list[Line], void: set[int]) -> tuple[list[Line], bool]:
             continue
         if not shown[span[-1]][0].article:
             risen = next((k for k in range(first, dive) if sums[k] >= SURGE), first)
+            risen = next((k for k in range(risen, dive) if weights[k]), first)
             # The surge point goes back to the stretch's first heading or on to the page's; no links stand alone at the ends.
             top = [k for k in span if shown[k][0].heading == 1 and k < risen + BLOCK]
             risen = top[0] if top else min([risen, *(k for k in span if shown[k][0].heading)])
