@@ -265,6 +265,43 @@ def test_vectors(spark):
     assert hits >= 0.9 * 20 * len(got)
 
 
+def test_index_prunes_and_splits(spark, monkeypatch):
+    """With several times more cells than are visited, units and parts of a few rows: recall against brute force, ties by the smaller id."""
+    monkeypatch.setattr(vectors, "LEAST_UNIT", 64)
+    monkeypatch.setattr(vectors, "UNIT", 64)
+    monkeypatch.setattr(vectors, "PART", 32)
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(40, 24)).repeat(60, axis=0) + 0.3 * rng.normal(size=(2400, 24))
+    x[:800] = x[0]  # a third are copies
+    index = vectors.index_of(spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>"))
+    assert index.index.probes < len(index.index.cells) == 49 and index.recall >= vectors.TARGET_RECALL and (index.index.first + index.index.units).max() > 30
+    queries = index.coded.where("vec_id % 20 = 0")
+    hits = 0
+    got = {}
+    for r in index.run(queries, queries.count()).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    assert set(got) == set(range(0, 2400, 20))
+    for q, rows in got.items():
+        rows.sort()
+        assert [r[0] for r in rows] == list(range(1, 21)) and [r[1:] for r in rows] == sorted((r[1:] for r in rows), key=lambda z: (-z[1], z[0]))
+        score = (x * x[q]).sum(axis=1)
+        score[q] = -np.inf
+        want = np.lexsort((np.arange(2400), -score))[:20]
+        hits += len({r[1] for r in rows} & set(want.tolist()))
+        if q < 800:
+            assert [r[1] for r in rows] == want.tolist()
+    assert hits >= 0.9 * 20 * len(got)
+
+
+def test_cells_are_topped_up():
+    """A query whose cells hold fewer than k rows visits more."""
+    index = vectors.Index(np.eye(8), 64)
+    index.lay_out(dict.fromkeys(range(len(index.cells)), 3), 4)
+    index.probes = 1
+    units, reach = index.visits(np.eye(8)[:2], 5)
+    assert all(len(u) >= 2 for u in units) and ((np.eye(8)[:2] @ index.cells.T >= reach[:, None] - 1e-9).sum(axis=1) * 3 >= 6).all()
+
+
 def test_vectors_few(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.0]), (2, [0.0, 0.0])], "vec_id long, embedding array<double>")
     assert [tuple(r) for r in vectors.search(df).collect()] == [(0, 1, 1, 0.5)]
