@@ -3,13 +3,10 @@
 Every distinct non-empty trimmed line, known by a 128-bit hash, has a HyperLogLog
 sketch of the sites (sources) it stands on; sketches merge by aggregation. Lines whose
 estimate is far above the threshold are boilerplate, those far below are not, and those
-near it get exact distinct counts. A document loses its boilerplate lines.
-
-A document more than MOST of whose characters stand on boilerplate lines is a copy of
-a widely copied document rather than a page with boilerplate; it stays as it is, for
-near-duplicate removal to judge. With most=None every document loses its boilerplate
-lines; only a text that stands on so many sites as a whole, equal to the letter, is a
-copy and stays.
+near it get exact distinct counts. Every document loses its boilerplate lines, however
+many of its lines they are. A text that stands on so many sites as a whole, equal to
+the letter, is a copied document, not boilerplate around one; it stays as it is, for
+near-duplicate removal to judge.
 
 Defined results: a null text stays null, an empty one empty. Lines are compared without
 the white space around them; empty lines are never boilerplate, and kept lines stay as
@@ -28,10 +25,8 @@ QUERY = "op5_lines"
 
 #: Sites from which on a line is boilerplate; bits of a sketch; margin around the threshold.
 SITES, BITS, MARGIN = 10, 10, 0.25
-#: Share of a document's line characters beyond which it is left as it is.
-MOST = 0.5
-#: Lines up to this number are broadcast (24 bytes each), more are joined by shuffle.
-BROADCAST_LINES = 200_000
+#: Lines up to this number are broadcast (24 bytes each), more are joined by shuffle, a line's rows dealt into SALTS parts.
+BROADCAST_LINES, SALTS = 200_000, 32
 
 
 def key(line: Column) -> list[Column]:
@@ -52,9 +47,18 @@ def lines_of(docs: DataFrame, *more: str) -> DataFrame:
     return split.select(*more, h1.alias("h1"), h2.alias("h2"), F.length("line").alias("chars"))
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """Broadcast if the checked number of rows is within the bound."""
-    return F.broadcast(df) if df.limit(BROADCAST_LINES + 1).count() <= BROADCAST_LINES else df
+def _small(df: DataFrame) -> bool:
+    """Whether the checked number of rows is within the bound for a broadcast."""
+    return df.limit(BROADCAST_LINES + 1).count() <= BROADCAST_LINES
+
+
+def among(rows: DataFrame, few: DataFrame, by: Column, how: str = "left_semi") -> DataFrame:
+    """The rows whose (h1, h2) is in few, or rows joined with few; beyond a broadcast, a hash's rows are dealt by the column by."""
+    if _small(few):
+        return rows.join(F.broadcast(few), ["h1", "h2"], how)
+    dealt = few.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = rows.withColumn("__salt", F.pmod(F.xxhash64(by, F.lit("salt")), F.lit(SALTS)).cast("int"))
+    return salted.join(dealt, ["h1", "h2", "__salt"], how).drop("__salt")
 
 
 def _site() -> Column:
@@ -70,8 +74,8 @@ def boilerplate(docs: DataFrame, sites: int = SITES, margin: float = MARGIN) ->
     found = common.table(found, "spread")
     sure = found.where(F.col("estimate") > sites * (1 + margin)).select("h1", "h2")
     near = found.where(F.col("estimate") <= sites * (1 + margin)).select("h1", "h2")
-    # Distinct pairs of line and site first, so that a frequent line shrinks before it meets.
-    exact = lines.join(_small(near), ["h1", "h2"], "left_semi").groupBy("h1", "h2", "site").agg(F.count("*").alias("n"))
+    # A line's rows on a site become one before sites are counted.
+    exact = among(lines, near, F.col("site")).groupBy("h1", "h2", "site").agg(F.count("*").alias("n"))
     exact = exact.groupBy("h1", "h2").agg(F.count("*").alias("sites")).where(F.col("sites") >= sites).select("h1", "h2")
     return common.table(sure.unionByName(exact), "boilerplate")
 
@@ -84,34 +88,30 @@ def copied(docs: DataFrame, sites: int = SITES) -> DataFrame:
     return common.table(spread.where(F.col("sites") >= sites).select("h1", "h2"), "copied")
 
 
-def clean(docs: DataFrame, sites: int = SITES, most: float | None = MOST) -> DataFrame:
+def clean(docs: DataFrame, sites: int = SITES) -> DataFrame:
     """docs with text without boilerplate lines, and removed, the number of lines gone.
 
-    most is the share of boilerplate beyond which a document stays as it is; with None
-    none does but texts that are widely copied as a whole. A column n_chars follows the text. Rows meet their hashes again by a hash of id
-    and text, which spreads copies of one text.
+    A column n_chars follows the text, a column removed is replaced. Rows meet their
+    hashes again by a hash of id and text, which spreads copies of one text.
     """
+    docs = docs.drop("removed")
     bad = boilerplate(docs, sites)
     row = F.xxhash64(F.col("doc_id").cast("string"), F.col("text"))
     other = F.xxhash64(F.col("text"), F.col("doc_id").cast("string"))
     rows = docs.select("text", row.alias("__k1"), other.alias("__k2"))
-    hit = lines_of(rows, "__k1", "__k2").join(_small(bad), ["h1", "h2"], "left_semi")
+    hit = among(lines_of(rows, "__k1", "__k2"), bad, F.col("__k1"))
     hit = hit.groupBy("__k1", "__k2").agg(F.collect_set(F.struct("h1", "h2")).alias("__bad"))
     joined = docs.withColumn("__k1", row).withColumn("__k2", other).join(hit, ["__k1", "__k2"], "left")
     parts = F.transform(F.split("text", "\n"), lambda x: F.struct(x.alias("line"), trimmed(x).alias("t")))
     known = lambda t: F.array_contains(F.col("__bad"), F.struct(*[h.alias(n) for h, n in zip(key(t), ("h1", "h2"), strict=True)]))
-    parts = F.transform(parts, lambda p: F.struct(p["line"].alias("line"), F.length(p["t"]).alias("n"), known(p["t"]).alias("bad")))
+    parts = F.transform(parts, lambda p: F.struct(p["line"].alias("line"), known(p["t"]).alias("bad")))
     some = joined.withColumn("__parts", F.when(F.col("__bad").isNotNull(), parts))
-    total = F.aggregate("__parts", F.lit(0).cast("long"), lambda a, p: a + p["n"])
-    lost = F.aggregate("__parts", F.lit(0).cast("long"), lambda a, p: a + F.when(p["bad"], p["n"]).otherwise(0))
-    if most is None:
-        h1, h2 = key(F.col("text"))
-        whole = _small(copied(docs, sites)).select(F.col("h1").alias("__w1"), F.col("h2").alias("__w2"), F.lit(True).alias("__copied"))
-        some = some.join(whole, (h1 == F.col("__w1")) & (h2 == F.col("__w2")), "left")
-        cut = F.col("__bad").isNotNull() & F.col("__copied").isNull()
-    else:
-        cut = lost <= total * most
-    some = some.withColumn("__cut", F.coalesce(cut, F.lit(False)))
+    h1, h2 = key(F.col("text"))
+    whole = copied(docs, sites).withColumn("__copied", F.lit(True))
+    inner = {c: f"__own_{c}" for c in docs.columns if c in ("h1", "h2")}  # the input's own columns of these names
+    some = among(some.withColumnsRenamed(inner).withColumns({"h1": h1, "h2": h2}), whole, F.col("__k1"), "left").drop("h1", "h2")
+    some = some.withColumnsRenamed({v: k for k, v in inner.items()})
+    some = some.withColumn("__cut", F.col("__bad").isNotNull() & F.col("__copied").isNull())
     text = F.when(F.col("__cut"), F.array_join(F.transform(F.filter("__parts", lambda p: ~p["bad"]), lambda p: p["line"]), "\n")).otherwise(F.col("text"))
     removed = F.when(F.col("__cut"), F.size(F.filter("__parts", lambda p: p["bad"]))).otherwise(0)
     columns = [text.alias("text") if c == "text" else F.col(c) for c in docs.columns]
@@ -134,16 +134,14 @@ lines as (
 ),
 trimmed as (select *, trim(line, ' ' || chr(9) || chr(13)) as t from lines),
 bad as (select t from trimmed where t <> '' group by t having count(distinct site) >= {SITES}),
-marked as (select l.*, b.t is not null as is_bad, length(l.t) as n from trimmed l left join bad b on l.t = b.t),
+marked as (select l.*, b.t is not null as is_bad from trimmed l left join bad b on l.t = b.t),
 cut as (
-  select doc_id,
-         sum(case when is_bad then n else 0 end) <= sum(n) * {MOST} as take,
-         count(*) filter (where is_bad) as removed,
-         string_agg(line, chr(10) order by place) filter (where not is_bad) as kept
+  select doc_id, count(*) filter (where is_bad) as removed, string_agg(line, chr(10) order by place) filter (where not is_bad) as kept
   from marked group by doc_id
-)
+),
+copied as (select text from documents where text <> '' group by text having count(distinct coalesce('=' || source, 'null')) >= {SITES})
 select d.doc_id,
-       case when c.take and c.removed > 0 then coalesce(c.kept, '') else d.text end as text,
-       cast(case when c.take then c.removed else 0 end as integer) as removed
-from docs d left join cut c on d.doc_id = c.doc_id
+       case when c.removed > 0 and w.text is null then coalesce(c.kept, '') else d.text end as text,
+       cast(case when w.text is null then coalesce(c.removed, 0) else 0 end as integer) as removed
+from docs d left join cut c on d.doc_id = c.doc_id left join copied w on d.text = w.text
 """
