@@ -8,7 +8,9 @@ network cannot remember single documents. The network scores every window of WIN
 next; the highest window score, put on a logistic scale, is the document's.
 
 Training learns from whole documents' labels: a toxic document's best windows stand
-for it, a clean one's worst, chosen anew in every epoch.
+for it, a clean one's worst, chosen anew again and again. One component of the vectors
+of words and n-grams starts with the log-odds of their documents, which helps where few
+toxic documents are labelled; untrained, the network scores no better than chance.
 
 Defined results: a null text is an empty one; a text without words gets the score of
 an empty window. Without labelled rows of both classes every score is that class's
@@ -19,10 +21,11 @@ matter. Repeated labels of an id count by majority. Further columns are not read
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewell.llm import common
@@ -33,15 +36,20 @@ QUERY = "op3_toxicity"
 WINDOW, STRIDE, WORD_CHARS = 32, 16, 24
 #: Hashed word and n-gram vectors, their width, and the width of a direction's state.
 WORDS, GRAMS, WIDTH, HIDDEN = 1 << 14, 1 << 14, 16, 8
-#: Learned from at most so many labelled documents of each class, each by so many windows at most.
-SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_WINDOWS = 900, 1300, 24
-EPOCHS, BATCH, RATE = 8, 128, 0.01
-#: Words and n-grams are known from so many learned documents, and this share of the smaller class, on.
-SEEN, SEEN_SHARE = 4, 0.02
+#: Learned from at most so many labelled documents of each class, whole ones, of so many characters together.
+SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_CHARS = 900, 1300, 4_000_000
+#: Steps of training at every size, windows of a step, first rate.
+STEPS, BATCH, RATE = 240, 128, 0.01
+#: Words and n-grams are known from so many learned documents on.
+SEEN = 4
+#: Share of the training after which the parameters' mean is taken.
+AVERAGED = 0.3
+#: Windows by which a toxic document teaches, in equal parts of the training.
+TAKEN = (6, 6, 4, 3, 2, 2)
 #: Distinct words a worker remembers with their projections, in two generations.
 MEMORY = 200_000
-#: Windows scored side by side.
-SIDE_BY_SIDE = 4096
+#: Windows scored side by side; words of a text whose windows are held at once.
+SIDE_BY_SIDE, LONG = 4096, 1 << 17
 
 _WORD = re.compile(rf"\w{{1,{WORD_CHARS}}}")
 #: Mixing constants for hashes of characters.
@@ -52,6 +60,20 @@ def words_of(text: str | None) -> list[str]:
     return _WORD.findall((text or "").lower())
 
 
+def pieces(text: str | None) -> Iterator[list[str]]:
+    """Runs of at most LONG words, each sharing its last window with the next: their windows are the text's."""
+    if len(text or "") < LONG:
+        yield words_of(text)
+        return
+    words: list[str] = []
+    for m in _WORD.finditer(text.lower()):
+        words.append(m[0])
+        if len(words) == LONG:
+            yield words
+            words = words[-WINDOW:]
+    yield words
+
+
 def inputs_of(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For each word: its hash, its n-grams' hashes [word, slot], and which slots count.
 
@@ -234,8 +256,8 @@ def _by_owner(scores: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
     return best
 
 
-def _know(net: Network, rows: Rows, numbered: list[list[int]], y: np.ndarray) -> np.ndarray:
-    """Mark the words and n-grams of enough documents; their vectors start with the log-odds of their documents.
+def _know(net: Network, rows: Rows, numbered: list[list[int]], y: np.ndarray, start: bool = True) -> np.ndarray:
+    """Mark the words and n-grams of enough documents; with start, one of their vectors' components begins with the log-odds of their documents.
 
     Returns the log-odds of each numbered word.
     """
@@ -247,12 +269,13 @@ def _know(net: Network, rows: Rows, numbered: list[list[int]], y: np.ndarray) ->
         parts[label, np.unique(grams[mine][live[mine]])] += 1
     n = np.bincount(y.astype(int), minlength=2)[:, None]
     for name, counts in (("word", words), ("gram", parts)):
-        odds = np.log((counts + 2) / (n + 4))
-        known = counts.sum(axis=0) >= max(SEEN, SEEN_SHARE * n.min())
-        net.p[name][:, 0] = np.where(known, np.clip(odds[1] - odds[0], -3, 3) / 3, 0)
+        known = counts.sum(axis=0) >= SEEN
         setattr(net, f"known_{name}s", known)
-    net.p["word"][0, 0], net.known_words[0] = 0, True
-    return np.where(net.known_words[whole], net.p["word"][whole, 0], 0)
+        if start:
+            odds = np.log((counts + 2) / (n + 4))
+            net.p[name][:, 0] = np.where(known, np.clip(odds[1] - odds[0], -3, 3) / 3, 0)
+    net.p["word"][0], net.known_words[0] = 0, True
+    return np.where(net.known_words[whole], net.p["word"][whole, 0], 0) if start else np.zeros(len(whole))
 
 
 def _summed(who: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -262,8 +285,8 @@ def _summed(who: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return hit, np.add.reduceat(values[order], begin, axis=0) if len(hit) else values[:0]
 
 
-def train(texts: list[str], labels: list[int], seed: int = 7) -> Network:
-    """Fit the network on whole documents."""
+def train(texts: list[str], labels: list[int], seed: int = 7, start: bool = True, steps: int = STEPS) -> Network:
+    """Fit the network on whole documents; start and steps are for ablation."""
     net, rng = Network(seed), np.random.default_rng(seed)
     y = np.array(labels, np.float32)
     if len(set(labels)) < 2:
@@ -272,16 +295,11 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Network:
     rows = Rows()
     numbered = [rows(words_of(t)) for t in texts]
     index, live, owner = grid(numbered)
-    # Long documents give a bounded number of windows to learn from, spread over the whole text.
-    nth = np.arange(len(owner)) - np.searchsorted(owner, owner)
-    total = np.bincount(owner, minlength=len(texts))[owner]
-    used = (nth * SAMPLE_WINDOWS) // np.maximum(total, SAMPLE_WINDOWS) != ((nth - 1) * SAMPLE_WINDOWS) // np.maximum(total, SAMPLE_WINDOWS)
-    index, live, owner = index[used], live[used], owner[used]
-    odds = _know(net, rows, numbered, y)
+    odds = _know(net, rows, numbered, y, start)
     inputs = net.inputs(["", *rows.of])
     moments = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in net.p.items() if k not in ("word", "gram")}
     squares = {k: np.full(len(net.p[k]), 1e-6, np.float32) for k in ("word", "gram")}
-    step = 0
+    mean, averaged, step = {k: np.zeros_like(v) for k, v in net.p.items()}, 0, 0
 
     def scored(which):
         if not len(which):
@@ -291,22 +309,25 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Network:
 
     everything = np.arange(len(owner))
     clean = everything[y[owner] == 0]
-    for epoch in range(EPOCHS):
+    toxic = everything[y[owner] == 1]
+    while step < steps:
         # A clean document's worst windows are sought in a third of its windows, another in each epoch.
-        scores = rng.random(len(owner)).astype(np.float32) - 1e6 if epoch else odds[index].max(axis=1)
-        if epoch:
-            asked = np.concatenate([everything[y[owner] == 1], clean[rng.random(len(clean)) < 0.34]])
+        scores = rng.random(len(owner)).astype(np.float32) - 1e6
+        if not step and start:
+            scores = odds[index].max(axis=1)
+        if step:
+            asked = np.concatenate([toxic, clean[rng.random(len(clean)) < 0.34]])
             scores[asked] = scored(asked)
         order = np.lexsort((-scores, owner))
         place = np.arange(len(order)) - np.searchsorted(owner[order], owner[order])
-        positive = y[owner[order]] == 1
-        take = np.where(positive, place < (6 if epoch < 2 else 2), place < 2)
+        # At first a toxic document teaches by many windows, later by its best.
+        take = place < np.where(y[owner[order]] == 1, TAKEN[step * len(TAKEN) // max(1, steps)], 2)
         chosen = np.concatenate([order[take], rng.choice(clean, min(len(texts) // 2, len(clean)), replace=False)])
         chosen = rng.permutation(chosen)
         # Both classes weigh the same.
         up = max(1.0, float((y[owner[chosen]] == 0).sum()) / max(1.0, float((y[owner[chosen]] == 1).sum())))
-        rate = RATE * (1 - epoch / EPOCHS) + 1e-4
-        for k in range(0, len(chosen), BATCH):
+        rate = RATE * (1 - step / max(1, steps)) + 1e-4
+        for k in range(0, BATCH * min(-(-len(chosen) // BATCH), steps - step), BATCH):
             some = chosen[k : k + BATCH]
             own, local = np.unique(index[some], return_inverse=True)
             local = local.reshape(len(some), WINDOW)
@@ -327,6 +348,12 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Network:
                 hit, v = _summed(who, v)
                 squares[name][hit] += (v**2).mean(axis=1)
                 net.p[name][hit] -= 5 * rate * v / np.sqrt(squares[name][hit])[:, None]
+            if step > AVERAGED * steps:
+                for name, v in net.p.items():
+                    mean[name] += v
+                averaged += 1
+    if averaged:
+        net.p = {name: v / averaged for name, v in mean.items()}
     # A logistic scale for the best window's score, fitted by Newton's steps.
     best = _by_owner(scored(everything), owner, len(texts)).astype(float)
     a, b = 1.0, 0.0
@@ -368,19 +395,28 @@ class Scorer:
             of.update((w, at + j) for j, w in enumerate(some))
         return [[of[w] for w in x] for x in words]
 
+    def _best(self, words: list[list[str]]) -> np.ndarray:
+        """The highest window score of each run of words."""
+        index, live, owner = grid(self._number(words))
+        scores = [self.net.forward(self.rows, index[k : k + SIDE_BY_SIDE], live[k : k + SIDE_BY_SIDE]) for k in range(0, len(owner), SIDE_BY_SIDE)]
+        return _by_owner(np.concatenate(scores), owner, len(words))
+
     def __call__(self, texts: list[str | None]) -> np.ndarray:
-        out = np.zeros(len(texts))
-        at = 0
-        while at < len(texts):  # slices of about a megabyte
-            end, size = at, 0
-            while end < len(texts) and (end == at or size < 1 << 20):
-                size += len(texts[end] or "")
-                end += 1
-            index, live, owner = grid(self._number([words_of(t) for t in texts[at:end]]))
-            scores = [self.net.forward(self.rows, index[k : k + SIDE_BY_SIDE], live[k : k + SIDE_BY_SIDE]) for k in range(0, len(owner), SIDE_BY_SIDE)]
-            out[at:end] = self.net.probability(_by_owner(np.concatenate(scores), owner, end - at))
-            at = end
-        return out
+        best = np.full(len(texts), -np.inf)
+        held: list[list[str]] = []
+        owner: list[int] = []
+        size = 0
+        for k, text in enumerate(texts):
+            for words in pieces(text):
+                held.append(words)
+                owner.append(k)
+                size += len(words)
+                if size >= LONG:
+                    np.maximum.at(best, owner, self._best(held))
+                    held, owner, size = [], [], 0
+        if held:
+            np.maximum.at(best, owner, self._best(held))
+        return self.net.probability(best)
 
 
 def learn(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC, clean: int = SAMPLE_CLEAN) -> Network:
@@ -388,10 +424,15 @@ def learn(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC, clean:
     counts = {r["y"]: r["n"] for r in labels.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return train([], [])
+    at = F.pmod(F.xxhash64("label_id"), F.lit(1_000_000))
     share = F.when(F.col("y") == 1, F.lit(toxic / max(1, counts.get(1, 0)))).otherwise(F.lit(clean / max(1, counts.get(0, 0))))
-    some = labels.where(F.pmod(F.xxhash64("label_id"), F.lit(1_000_000)) < 1_000_000 * share).limit(2 * (toxic + clean))
-    rows = docs.join(some, docs["doc_id"] == some["label_id"]).select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "y").collect()
-    rows = sorted(rows, key=lambda r: (r["doc_id"], r["text"]))
+    some = labels.where(at < 1_000_000 * share).limit(2 * (toxic + clean))
+    own = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = own.join(F.broadcast(some), own["doc_id"] == some["label_id"]).select("doc_id", "text", "y").distinct()
+    # Of each class the first by hash that hold so many characters together, so that the driver's part is bounded.
+    first = Window.partitionBy("y").orderBy(F.xxhash64("doc_id"), "doc_id", "text").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("upto", F.sum(F.length("text") + F.lit(1)).over(first)).where(F.col("upto") <= SAMPLE_CHARS)
+    rows = sorted(rows.select("doc_id", "text", "y").collect(), key=lambda r: (r["doc_id"], r["text"]))
     return train([r["text"] for r in rows], [r["y"] for r in rows])
 
 
