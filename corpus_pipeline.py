@@ -15,6 +15,7 @@ def _columns(df: DataFrame) -> DataFrame:
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below one half."""
+    docs = _columns(docs)
     net = toxicity.learn(docs, toxicity.train_labels(spark, sf_dir))
     kept = toxicity.score(docs, net, keep=tuple(docs.columns))
     return _columns(kept.where(F.col("score") < 0.5))
@@ -22,20 +23,19 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score reaches the threshold."""
-    common.bound_batches(spark)
-    held = common.table(quality.features(docs), "quality")
-    model = quality.fit(held, quality.train_labels(spark, sf_dir))
+    docs = _columns(docs)
+    model = quality.fit_texts(docs, quality.train_labels(spark, sf_dir))
     return _columns(quality.score_texts(docs, model).where(F.col("score") >= quality.THRESHOLD))
 
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that stand on many sites, however many of a document's they are."""
-    return _columns(lines.clean(docs))
+    return lines.clean(_columns(docs)).drop("removed")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates."""
-    return _columns(neardup.deduplicate(docs))
+    return neardup.deduplicate(_columns(docs))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

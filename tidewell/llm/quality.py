@@ -1,14 +1,15 @@
 """Quality classifier: regularised quadratic discriminant analysis.
 
-Statistics of every whole text are transformed (logarithms, logits of shares) and
-written once. Class means and covariances come from sums that Spark adds up over all
+Statistics of every whole text are transformed (logarithms, logits of shares, both
+drawn towards usual values by a fixed amount of text, so that those of short texts are
+no extremes) and written once. Class means and covariances come from sums that Spark adds up over all
 labelled rows; each covariance is shrunk towards the pooled one and that towards a
 multiple of the identity. A score is the logistic of the prior's log-odds and the
 difference of the two Mahalanobis log-densities, computed with the Cholesky factors
-kept in the model; the difference weighs less for short texts.
+kept in the model.
 
-Defined results: a null text counts as empty, and empty texts are scored by the same
-statistics (all zero); a class without labelled rows leaves every score at the other
+Defined results: a null text counts as empty, as does one of white space alone; empty
+texts are scored by the same statistics (of no characters); a class without labelled rows leaves every score at the other
 class's value (1 or 0; 0.5 without any label). Rows stand alone: repeats and order do
 not matter. Repeated labels of an id count by majority. Further columns are not read.
 """
@@ -30,10 +31,10 @@ QUERY = "op6_quality"
 
 #: Shares of the pooled covariance and of the identity in a class covariance.
 TO_POOLED, TO_IDENTITY = 0.1, 0.02
-#: The log-odds are divided by this: neighbouring words are not independent evidence.
-TEMPERATURE = 2.0
-#: A text of this many characters counts half of what its statistics say, a longer one more.
-HALF_EVIDENCE = 200
+#: Characters and words of usual text by which every text's statistics are drawn in.
+USUAL_CHARS, USUAL_WORDS = 100.0, 20.0
+#: Labels up to this number are broadcast (16 bytes each).
+BROADCAST_LABELS = 500_000
 #: A document is kept at this score and above.
 THRESHOLD = 0.7
 
@@ -45,49 +46,45 @@ NAMES = (
 _PUNCTUATION, _SYMBOLS, _MARKS = b".,;:'\"()-", b"#$%&*|<>{}~^@=+_\\/[]`", b"!?"
 
 
-def logit(share: float, n: float) -> float:
-    """Log-odds of a share of n, drawn in by half a count at both ends."""
-    k = share * n
-    return math.log((k + 0.5) / (n - k + 0.5))
+def logit(k: float, n: float, usual: float, amount: float) -> float:
+    """Log-odds of k in n, after an amount of text with the usual share."""
+    return math.log((k + amount * usual) / (n - k + amount * (1 - usual)))
 
 
 def statistics(text: str | None) -> list[float]:
     """Transformed statistics of one text, in the order of NAMES."""
     text = text or ""
     if not text.strip():
-        return [0.0] * len(NAMES)
+        text = ""
     raw = np.bincount(np.frombuffer(text.encode("utf-8", "replace"), np.uint8), minlength=256)
-    n = len(text)
     words = text.split()
-    m = len(words)
+    n, m, size = len(text), len(words), int(raw.sum())
     counts = Counter(words)
+    lines = Counter(x for x in text.split("\n") if x.strip())
     lower, upper = int(raw[97:123].sum()), int(raw[65:91].sum())
-    size = raw.sum()
-    p = raw[raw > 0] / size
-    lines = [x for x in text.split("\n") if x.strip()]
-    repeated = sum(len(x) * (k - 1) for x, k in Counter(lines).items())
-    share = lambda chars: int(raw[list(chars)].sum()) / size
-    distinct = len(counts)
-    # At most 1000 bytes count as evidence for a share, so that long texts are not extremes.
-    at = min(float(size), 1000.0)
-    few = min(float(m), 200.0)
+    repeated = sum(len(x) * (k - 1) for x, k in lines.items())
+    p = raw[raw > 0] / max(1, size)
+    # Entropy with the usual correction for the bytes not yet seen.
+    bits = float(-(p * np.log2(p)).sum()) * size + (len(p) - 1) / (2 * math.log(2)) if size else 0.0
+    share = lambda chars, usual: logit(int(raw[list(chars)].sum()), size, usual, USUAL_CHARS)
+    of_words = lambda k, usual: logit(k, m, usual, USUAL_WORDS)
     return [
         math.log1p(n),
         math.log1p(m),
-        math.log(n / m),
-        math.log1p(max(map(len, counts))),
-        logit(upper / (lower + upper) if lower + upper else 0.0, at),
-        logit(share(_PUNCTUATION), at),
-        logit(share(_SYMBOLS), at),
-        logit(share(range(48, 58)), at),
-        logit(share(b" \t\n\r"), at),
-        logit(share(_MARKS), at),
-        float(-(p * np.log2(p)).sum()),
-        math.log(distinct) / math.log(m + 1),
-        logit(max(counts.values()) / m, few),
-        logit(repeated / n if n else 0.0, few),
-        logit(sum(k for w, k in counts.items() if w[-1] in ".!?") / m, few),
-        logit(sum(k for w, k in counts.items() if w.isalpha()) / m, few),
+        math.log((n + 6 * USUAL_WORDS) / (m + USUAL_WORDS)),
+        math.log(10 + max(map(len, counts), default=0)),
+        logit(upper, lower + upper, 0.04, USUAL_CHARS),
+        share(_PUNCTUATION, 0.03),
+        share(_SYMBOLS, 0.005),
+        share(range(48, 58), 0.01),
+        share(b" \t\n\r", 0.17),
+        share(_MARKS, 0.003),
+        (bits + 4.3 * USUAL_CHARS) / (size + USUAL_CHARS),
+        math.log((len(counts) + USUAL_WORDS) / (m + USUAL_WORDS)),
+        of_words(max(counts.values(), default=0), 0.06),
+        logit(repeated, n, 0.02, USUAL_CHARS),
+        of_words(sum(k for w, k in counts.items() if w[-1] in ".!?"), 0.07),
+        of_words(sum(k for w, k in counts.items() if w.isalpha()), 0.85),
     ]
 
 
@@ -133,15 +130,13 @@ class Discriminant:
             self.log_det.append(2 * float(np.log(np.diag(factor)).sum()))
         self.prior = float(np.log(n[1] / n[0]))
 
-    def score(self, x: np.ndarray, chars: np.ndarray | None = None) -> np.ndarray:
-        """Probability of class 1 for rows of statistics; a text of few chars stays near the prior, an empty one does not."""
+    def score(self, x: np.ndarray) -> np.ndarray:
+        """Probability of class 1 for rows of statistics."""
         if self.constant is not None:
             return np.full(len(x), self.constant)
         z = x / self.scale
         log = [-0.5 * (((z - m) @ f.T) ** 2).sum(axis=1) - 0.5 * d for m, f, d in zip(self.means, self.inverse, self.log_det, strict=True)]
-        weight = 1.0 if chars is None else np.where(chars > 0, chars / (chars + HALF_EVIDENCE), 1.0)
-        odds = self.prior + weight * (log[1] - log[0]) / TEMPERATURE
-        return 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
+        return 1 / (1 + np.exp(-np.clip(self.prior + log[1] - log[0], -500, 500)))
 
 
 def fit(held: DataFrame, labels: DataFrame) -> Discriminant:
@@ -160,6 +155,14 @@ def fit(held: DataFrame, labels: DataFrame) -> Discriminant:
     return Discriminant(counts, sums, squares)
 
 
+def fit_texts(docs: DataFrame, labels: DataFrame) -> Discriminant:
+    """fit() on the texts of docs (doc_id, text) that have a label; statistics are computed for those alone if the labels can be broadcast."""
+    if labels.limit(BROADCAST_LABELS + 1).count() <= BROADCAST_LABELS:
+        ids = F.broadcast(labels.select("label_id"))
+        return fit(features(docs.join(ids, docs["doc_id"] == ids["label_id"], "left_semi")), labels)
+    return fit(common.table(features(docs), "quality"), labels)
+
+
 def score(held: DataFrame, model: Discriminant) -> DataFrame:
     """held with a column score."""
     shipped = held.sparkSession.sparkContext.broadcast(model)
@@ -167,20 +170,21 @@ def score(held: DataFrame, model: Discriminant) -> DataFrame:
     def run(batches):
         for batch in batches:
             x = np.array(batch.column("x").to_pylist(), float).reshape(batch.num_rows, len(NAMES))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shipped.value.score(x, np.expm1(x[:, 0])), pa.float64())], names=[*batch.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shipped.value.score(x), pa.float64())], names=[*batch.schema.names, "score"])
 
     return held.mapInArrow(run, StructType([*held.schema.fields, StructField("score", DoubleType())]))
 
 
 def score_texts(docs: DataFrame, model: Discriminant) -> DataFrame:
-    """docs with a column score, from every whole text."""
+    """docs with a column score (in place of one it has), from every whole text."""
+    docs = docs.drop("score")
     common.bound_batches(docs.sparkSession)
     shipped = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         for batch in batches:
             x = np.array([statistics(t) for t in batch.column("text").to_pylist()], float).reshape(batch.num_rows, len(NAMES))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shipped.value.score(x, np.expm1(x[:, 0])), pa.float64())], names=[*batch.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shipped.value.score(x), pa.float64())], names=[*batch.schema.names, "score"])
 
     return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("score", DoubleType())]))
 
