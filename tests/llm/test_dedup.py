@@ -239,6 +239,43 @@ def test_near_copies_odd(frame, odd, empty):
     assert neardup.deduplicate(empty).count() == 0
 
 
+def test_hot_keys_are_dealt(frame, spark, monkeypatch):
+    """Every key hot, by broadcast marks and without: the same classes."""
+    base = [prose(80) for _ in range(12)]
+    rows = [(k, base[k % 12] if k % 3 else edited(base[k % 12], 4), "s") for k in range(90)] + [(None, "a null id's text", "s"), (None, "another one of these", "s")]
+    want = {(r["doc_id"], r["t1"]): r["class_id"] for r in neardup.classes(frame(rows))[0].collect()}
+    monkeypatch.setattr(neardup, "HOT", 1)
+    for most in (1000, 1):
+        monkeypatch.setattr(neardup, "BROADCAST_KEYS", most)
+        assert {(r["doc_id"], r["t1"]): r["class_id"] for r in neardup.classes(frame(rows))[0].collect()} == want
+    kept = neardup.deduplicate(frame(rows)).collect()
+    assert len({r["text"] for r in kept}) == len(kept) and sum(r["doc_id"] is None for r in kept) == 2
+
+
+def test_all_pairs(spark):
+    """sf0.001 and one text edited at growing distance: links are those of all pairs."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    base = prose(200)
+    more = spark.createDataFrame([(10_000 + k, edited(base, k)) for k in range(0, 36, 4)] + [(20_000 + k, " ".join(R.sample(base.split(), 170))) for k in range(3)], docs.schema)
+    rows = [(r["doc_id"], r["text"] or "") for r in docs.unionByName(more).collect()]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, j in similar_pairs([t for _, t in rows]):
+        root[max(find(i), find(j))] = min(find(i), find(j))
+    least = {}
+    for k, (i, _) in enumerate(rows):
+        least[find(k)] = min(i, least.get(find(k), i))
+    out, _ = neardup.classes(docs.unionByName(more))
+    got = {r["doc_id"]: r["class_id"] for r in out.collect()}
+    want = {i: least[find(k)] for k, (i, _) in enumerate(rows)}
+    assert sum(got[i] == want[i] for i in want) >= 0.99 * len(want) and all(got[i] >= want[i] for i in want)
+
+
 def test_components(spark):
     links = [(k, k + 1) for k in range(0, 60)] + [(100, 103), (101, 103), (102, 101), (200, 200)]
     got = {r["node"]: r["root"] for r in neardup.components(spark.createDataFrame(links, "a long, b long")).collect()}

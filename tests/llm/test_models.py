@@ -63,6 +63,54 @@ def test_network_finds_words_anywhere():
     assert ((0 <= toxic) & (toxic <= 1)).all()
 
 
+def auc(score, y):
+    order = np.argsort(score)
+    ranks = np.empty(len(score))
+    ranks[order] = np.arange(1, len(score) + 1)
+    return (ranks[y == 1].sum() - y.sum() * (y.sum() + 1) / 2) / (y.sum() * (1 - y).sum())
+
+
+def test_training_gives_the_score():
+    """The start alone separates nothing; training without it does."""
+    texts = [text(150, 3) for _ in range(80)] + [text(150) for _ in range(120)]
+    labels = [1] * 80 + [0] * 120
+    y = np.array([1] * 60 + [0] * 60)
+    asked = [text(150, 3) for _ in range(60)] + [text(150) for _ in range(60)]
+    assert auc(toxicity.Scorer(toxicity.train(texts, labels, steps=0))(asked), y) < 0.8
+    assert auc(toxicity.Scorer(toxicity.train(texts, labels, start=False))(asked), y) > 0.95
+
+
+def slow_score(net, words):
+    """The network word by word: two GRUs, attention, the best of all windows."""
+    p, h = {k: v.astype(float) for k, v in net.p.items()}, toxicity.HIDDEN
+    whole, grams, live = net.inputs(words or [""])
+    sig = lambda v: 1 / (1 + np.exp(-v))
+    best = -np.inf
+    for a, b in toxicity.windows(len(words)):
+        x = [np.concatenate([p["word"][whole[i]], p["gram"][grams[i][live[i]]].mean(axis=0) if live[i].any() else np.zeros(toxicity.WIDTH)]) @ p["in"] + p["bias"] for i in range(a, b)]
+        both = np.zeros((len(x), 2 * h))
+        for d, order in enumerate((range(len(x)), reversed(range(len(x))))):
+            now = np.zeros(h)
+            for t in order:
+                g, u = x[t][d * 3 * h : (d + 1) * 3 * h], now @ p["state"][d]
+                z, r = sig(g[:h] + u[:h]), sig(g[h : 2 * h] + u[h : 2 * h])
+                now = z * now + (1 - z) * np.tanh(g[2 * h :] + r * u[2 * h :])
+                both[t, d * h : (d + 1) * h] = now
+        if len(x):
+            e = np.exp(np.tanh(both @ p["attend"]) @ p["focus"])
+            best = max(best, (e / e.sum()) @ both @ p["out"] + p["out_bias"][0])
+    return float(net.probability(np.array(best)))
+
+
+def test_scores_are_the_slow_networks(monkeypatch):
+    net = toxicity.train([text(60, 3) for _ in range(30)] + [text(60) for _ in range(40)], [1] * 30 + [0] * 40, steps=40)
+    texts = [text(n, n // 40) for n in (1, 5, 31, 32, 33, 47, 48, 49, 100, 333)]
+    want = [slow_score(net, toxicity.words_of(t)) for t in texts]
+    assert np.allclose(toxicity.Scorer(net)(texts), want, atol=1e-4)
+    monkeypatch.setattr(toxicity, "LONG", 96)  # long texts in pieces
+    assert np.allclose(toxicity.Scorer(net)(texts), want, atol=1e-4)
+
+
 def test_network_without_two_classes():
     assert toxicity.Scorer(toxicity.train([], []))(["a"])[0] < 0.5
     assert toxicity.Scorer(toxicity.train(["a b"], [1]))(["a", None])[1] > 0.5
@@ -90,7 +138,7 @@ def test_discriminant_is_the_formula():
     for m, f in zip(model.means, model.inverse, strict=True):
         cov = np.linalg.inv(f) @ np.linalg.inv(f).T
         log.append(-0.5 * np.einsum("ij,jk,ik->i", z - m, np.linalg.inv(cov), z - m) - 0.5 * np.linalg.slogdet(cov)[1])
-    odds = (log[1] - log[0]) / quality.TEMPERATURE + model.prior
+    odds = log[1] - log[0] + model.prior
     assert np.allclose(got, 1 / (1 + np.exp(-odds)), atol=1e-9)
 
 
@@ -100,6 +148,41 @@ def test_statistics_of_odd_texts():
         assert len(x) == len(quality.NAMES) and np.isfinite(x).all()
 
 
+def test_short_clean_texts_are_kept():
+    """By their statistics alone: the score is the difference of the densities at every length."""
+    import duckdb
+
+    sf = "/root/testdata/sf0.01"
+    rows = duckdb.sql(f"select any_value(d.text), max(l.quality) from '{sf}/documents.parquet' d join '{sf}/labels.parquet' l using (doc_id) where l.quality is not null group by d.doc_id").fetchall()
+    x, y = np.array([quality.statistics(t) for t, _ in rows]), np.array([q for _, q in rows])
+    parts = [x[y == k] for k in (0, 1)]
+    model = quality.Discriminant([len(p) for p in parts], [p.sum(axis=0) for p in parts], [p.T @ p for p in parts])
+    short = ["The river ran by the mill.", "It rained all day in the town and we stayed at home.", "She walked home. The night was quiet and cold."]
+    poor = ["$$$ ### @@@ %%% ^^^ &&& *** ||| {{{ }}} ~~~ === +++ \\\\ [[[ ]]] " * 3, "buy buy buy buy buy buy buy buy buy buy buy buy buy buy buy\n" * 9]
+    assert (model.score(np.array([quality.statistics(t) for t in short])) >= quality.THRESHOLD).all()
+    assert (model.score(np.array([quality.statistics(t) for t in poor])) < quality.THRESHOLD).all()
+
+
+def test_query_is_brute_force(spark):
+    """op6 again with numpy over the whole tables."""
+    import zlib
+
+    import duckdb
+
+    sf = "/root/testdata/sf0.001"
+    texts = dict(duckdb.sql(f"select doc_id, any_value(text) from '{sf}/documents.parquet' group by 1").fetchall())
+    marks = dict(duckdb.sql(f"select doc_id, max(quality) from '{sf}/labels.parquet' where quality is not null group by 1 having min(quality) = max(quality)").fetchall())
+    learned = [i for i in marks if i in texts and zlib.crc32(str(i).encode()) % 4 != 2]
+    x, y = np.array([quality.statistics(texts[i]) for i in learned]), np.array([marks[i] for i in learned])
+    parts = [x[y == k] for k in (0, 1)]
+    model = quality.Discriminant([len(p) for p in parts], [p.sum(axis=0) for p in parts], [p.T @ p for p in parts])
+    got = {r["doc_id"]: (r["score"], r["predicted"], r["held_out"]) for r in quality.query(spark, sf).collect()}
+    want = dict(zip(texts, model.score(np.array([quality.statistics(t) for t in texts.values()])), strict=True))
+    assert set(got) == set(want)
+    for i, s in want.items():
+        assert abs(got[i][0] - s) < 1e-6 and got[i][1] == int(got[i][0] >= 0.7) and got[i][2] == (zlib.crc32(str(i).encode()) % 4 == 2)
+
+
 def test_op6(spark, odd, empty):
     labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
     held = [r for r in quality.query(spark, "/root/testdata/sf0.01").collect() if r["held_out"] and r["doc_id"] in labels]

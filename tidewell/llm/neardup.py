@@ -15,6 +15,8 @@ to each other, if through other buckets, is settled. In all others every pair th
 not yet linked is compared: pairs are made in blocks of BLOCK by BLOCK members, and
 those that differ too much in their counts of words to be similar need no alignment.
 Classes are the connected components of the links; a class is named by its least doc_id.
+Keys that many rows share (a bucket, a leader, a hub, a root, a text) are dealt into
+SALTS parts wherever rows meet by them.
 
 Defined results: null and empty texts are equal texts; texts of fewer words than a
 k-mer are one k-mer. Repeated rows are in one class. A null doc_id counts as less than all
@@ -25,7 +27,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.llm import common
@@ -42,6 +44,10 @@ SHORT, SHORT_SKETCHES = 3, 32
 PLACES, BLOCK = 128, 256
 #: Edits up to which an alignment follows diagonals rather than columns.
 FEW = 6
+#: Rows from which on a key counts as hot, parts its rows are dealt into, hot keys that are broadcast at most (24 bytes each).
+HOT, SALTS, BROADCAST_KEYS = 1024, 32, 200_000
+#: Distinct texts by whose hashes a task knows that it has sketched them.
+KNOWN = 1 << 20
 #: Rounds of labels after which something must be wrong (they halve every path).
 MOST_JOINS = 300
 
@@ -297,14 +303,42 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("t1"), F.xxhash64(text, F.lit("second")).alias("t2"))
 
 
+def meet(rows: DataFrame, side: DataFrame, keys: list[str], hot: DataFrame, by: str, how: str = "inner") -> DataFrame:
+    """rows joined with side by keys; the rows of keys in hot are dealt by the column by, with a copy of side's row for each part."""
+    n = hot.limit(BROADCAST_KEYS + 1).count()
+    if not n:
+        return rows.join(side, keys, how)
+    many = F.lit(True)  # more hot keys than can be broadcast: every key is dealt out
+    if n <= BROADCAST_KEYS:
+        mark = F.broadcast(hot.select(*keys, F.lit(True).alias("__hot")))
+        rows, side, many = rows.join(mark, keys, "left"), side.join(mark, keys, "left"), F.col("__hot").isNotNull()
+    parts = F.when(many, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    rows = rows.withColumn("__salt", F.when(many, F.pmod(F.xxhash64(by, F.lit("salt")), F.lit(SALTS)).cast("int")).otherwise(0)).drop("__hot")
+    side = side.withColumn("__salt", F.explode(parts)).drop("__hot")
+    return rows.join(side, [*keys, "__salt"], how).drop("__salt")
+
+
+def hot_keys(rows: DataFrame, *keys: str) -> DataFrame:
+    """Keys of more than HOT rows."""
+    return rows.groupBy(*keys).agg(F.count("*").alias("__n")).where(F.col("__n") > HOT).drop("__n")
+
+
 def sketches(docs: DataFrame) -> DataFrame:
-    """(t1, t2, keys, size, counts): bucket numbers, number of words and their counts for every text."""
+    """(t1, t2, keys, size, counts): bucket numbers, number of words and their counts of every distinct text, some of them more than once."""
     common.bound_batches(docs.sparkSession)
     source = _texts(docs).select("t1", "t2", "text")
 
     def run(batches):
         words = common.worker_state("neardup_words", Words)
+        known: set[tuple[int, int]] = set()
         for batch in batches:
+            if len(known) > KNOWN:
+                known.clear()
+            names, new = zip(batch.column("t1").to_pylist(), batch.column("t2").to_pylist(), strict=True), []
+            for name in names:
+                new.append(name not in known)
+                known.add(name)
+            batch = batch.filter(pa.array(new, pa.bool_()))
             texts = [words(t) for t in batch.column("text").to_pylist()]
             keys = pa.array([band_values(w).view(np.int64) for w in texts], pa.list_(pa.int64()))
             sizes = pa.array([len(w) for w in texts], pa.int32())
@@ -349,11 +383,12 @@ def unlinked_pairs(members: DataFrame) -> DataFrame:
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """pairs (a, b) of nodes with ok, whether their texts are similar; texts: (node, text).
 
-    Both joins are by shuffle at every size: the texts are the large side.
+    Both joins are by shuffle at every size: the texts are the large side. The pairs of
+    a text that is in many are dealt out.
     """
-    first = texts.select(F.col("node").alias("a"), F.col("text").alias("ta"))
-    second = texts.select(F.col("node").alias("b"), F.col("text").alias("tb"))
-    rows = pairs.hint("merge").join(first, "a").hint("merge").join(second, "b")
+    first = texts.select(F.col("node").alias("a"), F.col("text").alias("ta")).hint("merge")
+    second = texts.select(F.col("node").alias("b"), F.col("text").alias("tb")).hint("merge")
+    rows = meet(meet(pairs, first, ["a"], hot_keys(pairs, "a"), "b"), second, ["b"], hot_keys(pairs, "b"), "a")
 
     def run(batches):
         words = common.worker_state("neardup_words", Words)
@@ -369,95 +404,100 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return rows.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long, ok boolean")
 
 
-def _texts_of(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, node: Column) -> DataFrame:
+def _texts_of(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     """(node, text) of the nodes in pairs, each once, written to the shared folder.
 
     A text is read from the row of its least doc_id: copies have other ids and do not
     meet in a task. Later rounds need no other texts.
     """
     involved = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    chosen = nodes.select(node.alias("node"), "least", "repeats").join(involved, "node", "left_semi")
-    rows = _texts(docs).select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("least"), node.alias("node"), "text")
+    chosen = nodes.select("node", "least", "repeats").join(involved, "node", "left_semi")
+    rows = _texts(docs).select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("least"), F.xxhash64("t1", "t2").alias("node"), "text")
     found = common.table(rows.hint("merge").join(chosen, ["least", "node"]).select("node", "text", "repeats"), "texts")
     if found.where("repeats > 1").limit(1).count():  # rows that repeat with their id
         found = common.table(found.dropDuplicates(["node"]), "texts")
     return found.select("node", "text")
 
 
-def components(links: DataFrame) -> DataFrame:
-    """(node, root) of the nodes in links (a, b): least node of each connected component.
+def components(links: DataFrame, names: DataFrame | None = None) -> DataFrame:
+    """(node, root, name) of the nodes in links (a, b): the node of least name of each connected component, and that name.
 
-    Every round gives each node the least label among its own and its neighbours', then
-    its label's label; all aggregates combine before the shuffle.
+    names gives (node, name); without it a node is its own name. Every round gives each
+    node the least label among its own and its neighbours', then its label's label; all
+    aggregates combine before the shuffle.
     """
     both = common.table(links.select("a", "b").union(links.select("b", "a")).distinct(), "links")
-    labels = common.table(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("root")).withColumnRenamed("a", "node"), "labels")
+    nodes = both.select(F.col("a").alias("node")).distinct()
+    named = nodes.withColumn("name", F.col("node")) if names is None else nodes.join(names.select("node", "name"), "node")
+    labels = common.table(named.select("node", F.struct("name", F.col("node").alias("root")).alias("label")), "labels")
+    hubs = common.table(hot_keys(both, "b"), "hubs")
     for _ in range(MOST_JOINS):
-        near = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("root").alias("near"))
-        new = labels.join(near, labels["node"] == near["a"]).select("node", F.least("root", "near").alias("next"), "root")
-        up = labels.select(F.col("node").alias("up"), F.col("root").alias("upper"))
-        new = new.join(up, F.col("next") == F.col("up"), "left").select("node", F.least("next", F.coalesce("upper", "next")).alias("root"), F.col("root").alias("old"))
+        near = meet(both, labels.withColumnRenamed("node", "b"), ["b"], hubs, "a").groupBy("a").agg(F.min("label").alias("near"))
+        new = labels.join(near, labels["node"] == near["a"]).select("node", F.least("near", "label").alias("next"), "label")
+        new = common.table(new.withColumn("up", F.col("next.root")), "labels")
+        up = labels.select(F.col("node").alias("up"), F.col("label").alias("upper"))
+        new = meet(new, up, ["up"], hot_keys(new, "up"), "node").select("node", F.least("next", "upper").alias("label"), F.col("label").alias("old"))
         new = common.table(new, "labels")
-        moved = new.where("root <> old").limit(1).count()
-        labels = new.select("node", "root")
+        moved = new.where("label <> old").limit(1).count()
+        labels = new.select("node", "label")
         if not moved:
-            return labels
+            return labels.select("node", "label.root", "label.name")
     raise RuntimeError("labels did not settle")
 
 
 def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Membership (doc_id, t1, t2, copies, class_id) of every distinct row, and links (a, b) between distinct texts' least doc_ids.
+    """Membership (doc_id, t1, t2, copies, root, class_id) of every distinct row, and links (a, b) between distinct texts.
 
-    copies counts equal rows of one doc_id and text.
+    copies counts equal rows of one doc_id and text; root tells classes apart that have
+    one name, as their least doc_ids are null or repeat with different texts.
     """
-    spark = docs.sparkSession
     least = F.lit(-(1 << 63))
     named = _texts(docs).select(F.coalesce(F.col("doc_id").cast("long"), least).alias("doc_id"), "t1", "t2")
     members = common.table(named.groupBy("doc_id", "t1", "t2").agg(F.count("*").alias("copies")), "members")
-    # A node is a distinct text, known by one of its hashes; another hash tells a collision apart.
-    nodes = members.groupBy("t1", "t2").agg(F.min("doc_id").alias("least"), F.max("copies").alias("repeats"))
-    keyed = sketches(docs).groupBy("t1", "t2").agg(F.min("keys").alias("keys"), F.min("size").alias("size"), F.min("counts").alias("counts"))
-    keyed = common.table(keyed, "sketches")
+    # A node is a distinct text.
     node = F.xxhash64("t1", "t2")
+    nodes = members.groupBy("t1", "t2").agg(F.min("doc_id").alias("least"), F.max("copies").alias("repeats"), F.count("*").alias("n"))
+    nodes = common.table(nodes.select(node.alias("node"), "*"), "nodes")
+    keyed = sketches(docs).groupBy("t1", "t2").agg(F.min("keys").alias("keys"), F.min("size").alias("size"), F.min("counts").alias("counts"))
+    keyed = common.table(keyed.select(node.alias("node"), "keys", "size", "counts"), "sketches")
     bands = F.expr("transform(keys, (k, i) -> struct(i as band, k as value))")
-    buckets = keyed.select(node.alias("node"), "size", F.explode(bands).alias("k")).select("node", "size", "k.band", "k.value")
+    buckets = keyed.select("node", "size", F.explode(bands).alias("k")).select("node", "size", "k.band", "k.value")
     # The order that makes a leader is the band's own: a text that leads in one does not lead in all.
     order = F.struct(F.xxhash64("node", "band").alias("by"), "node", "size")
     leaders = buckets.groupBy("band", "value").agg(F.min(order).alias("l"), F.count("*").alias("n")).where("n > 1")
-    leaders = leaders.select("band", "value", "n", F.col("l.node").alias("leader"), F.col("l.size").alias("leader_size"))
-    led = common.table(buckets.join(leaders, ["band", "value"]), "led")
+    leaders = common.table(leaders.select("band", "value", "n", F.col("l.node").alias("leader"), F.col("l.size").alias("leader_size")), "leaders")
+    hot = leaders.where(F.col("n") > HOT).select("band", "value")
+    led = common.table(meet(buckets, leaders, ["band", "value"], hot, "node"), "led")
     longest = F.greatest("size", "leader_size")
     close = F.abs(F.col("size") - F.col("leader_size")) <= F.floor(F.lit(1 - SIMILARITY) * longest + F.lit(1e-9))
     pairs = led.where((F.col("node") != F.col("leader")) & close).select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
-    judged = common.table(_verified(pairs, _texts_of(docs, nodes, pairs, node)), "judged")
+    pairs = common.table(pairs, "pairs")
+    judged = common.table(_verified(pairs, _texts_of(docs, nodes, pairs)), "judged")
     links = judged.where("ok").select("a", "b")
-    roots = components(links)
+    names = nodes.select("node", F.col("least").alias("name"))
+    roots = components(links, names)
     # Of two members one led. In larger buckets only linked members are settled.
     rooted = led.where("n > 2").join(roots, "node", "left").select("band", "value", "n", "node", F.coalesce("root", "node").alias("root"))
     rooted = common.table(rooted, "rooted")
     unsettled = rooted.groupBy("band", "value").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most").select("band", "value")
-    still = rooted.join(unsettled, ["band", "value"]).join(keyed.select(node.alias("node"), "size", "counts"), "node")
+    still = meet(rooted, unsettled, ["band", "value"], hot, "node").join(keyed.select("node", "size", "counts"), "node")
     rest = unlinked_pairs(still).join(judged.select("a", "b"), ["a", "b"], "left_anti")
     rest = common.table(rest, "rest")
     if rest.limit(1).count():
-        found = common.table(_verified(rest, _texts_of(docs, nodes, rest, node)), "judged").where("ok").select("a", "b")
+        found = common.table(_verified(rest, _texts_of(docs, nodes, rest)), "judged").where("ok").select("a", "b")
         if found.limit(1).count():
             links = links.unionByName(found)
-            roots = components(links)
-    where = nodes.select(node.alias("node"), "t1", "t2", "least")
-    rooted = where.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    named_class = rooted.groupBy("root").agg(F.min("least").alias("class_id"))
-    of_text = rooted.join(named_class, "root").select("t1", "t2", "class_id")
-    null = lambda c: F.when(F.col(c) != least, F.col(c))
-    out = members.join(of_text, ["t1", "t2"]).select(null("doc_id").alias("doc_id"), "t1", "t2", "copies", null("class_id").alias("class_id"))
-    return out, links
+            roots = components(links, names)
+    of_text = nodes.join(roots, "node", "left").select("t1", "t2", F.coalesce("root", "node").alias("root"), F.coalesce("name", "least").alias("class_id"))
+    null = lambda c: F.when(F.col(c) != least, F.col(c)).alias(c)
+    out = meet(members, of_text, ["t1", "t2"], nodes.where(F.col("n") > HOT).select("t1", "t2"), "doc_id")
+    return out.select(null("doc_id"), "t1", "t2", "copies", "root", null("class_id")), links
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
     """docs with one row of each class: that of the class's least doc_id (of these, the one with the least text hash)."""
     out, _ = classes(docs)
-    out = common.table(out, "classes")
-    kept = out.groupBy("class_id").agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "t1", "t2", "copies")).alias("k")).select("k.*")
+    kept = out.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "t1", "t2", "copies")).alias("k")).select("k.*")
     kept = common.table(kept.select(F.col("doc_id").alias("__id"), F.col("t1").alias("__t1"), F.col("t2").alias("__t2"), "copies"), "kept")
     text = F.coalesce("text", F.lit(""))
     marked = docs.withColumn("__h1", F.xxhash64(text)).withColumn("__h2", F.xxhash64(text, F.lit("second")))
