@@ -9,9 +9,10 @@ share a bucket and are candidates.
 
 Equal texts are first made one. A candidate pair counts if its edit similarity over
 words, 1 - distance / longer length, reaches SIMILARITY, by an alignment in a band that
-just holds the edits this allows. First every bucket has a leader, by an order of the
-bucket's own, with whom each member is compared. A bucket whose members are then linked
-to each other, if through other buckets, is settled. In all others every pair that is
+just holds the edits this allows. In each of ROUNDS rounds every bucket has a leader, by
+an order of the round, and a text is compared with one leader, that with which it shares
+most buckets. A bucket whose members are then linked to each other, if through other
+buckets, is settled and takes no further part. Then, in all others, every pair that is
 not yet linked is compared: pairs are made in blocks of BLOCK by BLOCK members, and
 those that differ too much in their counts of words to be similar need no alignment.
 Classes are the connected components of the links; a class is named by its least doc_id.
@@ -44,6 +45,8 @@ SHORT, SHORT_SKETCHES = 3, 32
 PLACES, BLOCK = 128, 256
 #: Edits up to which an alignment follows diagonals rather than columns.
 FEW = 6
+#: Rounds in which a text is compared with one leader, before all pairs not linked by then.
+ROUNDS = 2
 #: Rows from which on a key counts as hot, parts its rows are dealt into, hot keys that are broadcast at most (24 bytes each).
 HOT, SALTS, BROADCAST_KEYS = 1024, 32, 200_000
 #: Distinct texts by whose hashes a task knows that it has sketched them.
@@ -445,6 +448,40 @@ def components(links: DataFrame, names: DataFrame | None = None) -> DataFrame:
     raise RuntimeError("labels did not settle")
 
 
+def _led(buckets: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
+    """Round k over buckets (node, size, root, band, value): those of several members with their number n, and a pair (a, b) for each member and the leader of another root with which it shares most buckets."""
+    order = F.struct(F.xxhash64("root", F.lit(k)).alias("by"), "node", "size", "root")
+    leaders = buckets.groupBy("band", "value").agg(F.min(order).alias("l"), F.count("*").alias("n")).where("n > 1")
+    leaders = leaders.select("band", "value", "n", F.col("l.node").alias("leader"), F.col("l.size").alias("leader_size"), F.col("l.root").alias("leader_root"))
+    leaders = common.table(leaders, "leaders")
+    led = common.table(meet(buckets, leaders, ["band", "value"], leaders.where(F.col("n") > HOT).select("band", "value"), "node"), "led")
+    longest = F.greatest("size", "leader_size")
+    close = F.abs(F.col("size") - F.col("leader_size")) <= F.floor(F.lit(1 - SIMILARITY) * longest + F.lit(1e-9))
+    shared = led.where((F.col("root") != F.col("leader_root")) & close).groupBy("node", "leader").agg(F.count("*").alias("bands"))
+    chosen = shared.groupBy("node").agg(F.max(F.struct("bands", "leader")).alias("c")).select("node", "c.leader")
+    pairs = chosen.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
+    return led.select("node", "size", "root", "band", "value", "n"), pairs
+
+
+def _linked(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, names: DataFrame, links: DataFrame | None, roots: DataFrame | None) -> tuple[DataFrame | None, DataFrame | None]:
+    """links with the pairs whose texts are similar, and the components they make."""
+    if not pairs.limit(1).count():
+        return links, roots
+    found = common.table(_verified(pairs, _texts_of(docs, nodes, pairs)), "judged").where("ok").select("a", "b")
+    if not found.limit(1).count():
+        return links, roots
+    links = found if links is None else links.unionByName(found)
+    return links, components(links, names)
+
+
+def _open(buckets: DataFrame) -> DataFrame:
+    """The buckets whose members have more than one root."""
+    buckets = common.table(buckets.select("node", "size", "root", "band", "value", "n"), "rooted")
+    found = buckets.groupBy("band", "value").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most").select("band", "value")
+    hot = buckets.where(F.col("n") > HOT).select("band", "value").distinct()
+    return common.table(meet(buckets, found, ["band", "value"], hot, "node"), "open")
+
+
 def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Membership (doc_id, t1, t2, copies, root, class_id) of every distinct row, and links (a, b) between distinct texts.
 
@@ -461,33 +498,25 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     keyed = sketches(docs).groupBy("t1", "t2").agg(F.min("keys").alias("keys"), F.min("size").alias("size"), F.min("counts").alias("counts"))
     keyed = common.table(keyed.select(node.alias("node"), "keys", "size", "counts"), "sketches")
     bands = F.expr("transform(keys, (k, i) -> struct(i as band, k as value))")
-    buckets = keyed.select("node", "size", F.explode(bands).alias("k")).select("node", "size", "k.band", "k.value")
-    # The order that makes a leader is the band's own: a text that leads in one does not lead in all.
-    order = F.struct(F.xxhash64("node", "band").alias("by"), "node", "size")
-    leaders = buckets.groupBy("band", "value").agg(F.min(order).alias("l"), F.count("*").alias("n")).where("n > 1")
-    leaders = common.table(leaders.select("band", "value", "n", F.col("l.node").alias("leader"), F.col("l.size").alias("leader_size")), "leaders")
-    hot = leaders.where(F.col("n") > HOT).select("band", "value")
-    led = common.table(meet(buckets, leaders, ["band", "value"], hot, "node"), "led")
-    longest = F.greatest("size", "leader_size")
-    close = F.abs(F.col("size") - F.col("leader_size")) <= F.floor(F.lit(1 - SIMILARITY) * longest + F.lit(1e-9))
-    pairs = led.where((F.col("node") != F.col("leader")) & close).select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
-    pairs = common.table(pairs, "pairs")
-    judged = common.table(_verified(pairs, _texts_of(docs, nodes, pairs)), "judged")
-    links = judged.where("ok").select("a", "b")
+    buckets = keyed.select("node", "size", F.explode(bands).alias("k")).select("node", "size", "k.band", "k.value", F.col("node").alias("root"))
     names = nodes.select("node", F.col("least").alias("name"))
-    roots = components(links, names)
-    # Of two members one led. In larger buckets only linked members are settled.
-    rooted = led.where("n > 2").join(roots, "node", "left").select("band", "value", "n", "node", F.coalesce("root", "node").alias("root"))
-    rooted = common.table(rooted, "rooted")
-    unsettled = rooted.groupBy("band", "value").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most").select("band", "value")
-    still = meet(rooted, unsettled, ["band", "value"], hot, "node").join(keyed.select("node", "size", "counts"), "node")
-    rest = unlinked_pairs(still).join(judged.select("a", "b"), ["a", "b"], "left_anti")
-    rest = common.table(rest, "rest")
-    if rest.limit(1).count():
-        found = common.table(_verified(rest, _texts_of(docs, nodes, rest)), "judged").where("ok").select("a", "b")
-        if found.limit(1).count():
-            links = links.unionByName(found)
-            roots = components(links, names)
+    judged = links = roots = None
+    for k in range(ROUNDS):
+        buckets, pairs = _led(buckets.drop("n"), k)
+        if judged is not None:
+            pairs = pairs.join(judged, ["a", "b"], "left_anti")
+        pairs = common.table(pairs, "pairs")
+        links, roots = _linked(docs, nodes, pairs, names, links, roots)
+        judged = pairs if judged is None else judged.unionByName(pairs)
+        if roots is not None:
+            buckets = buckets.drop("root").join(roots.select("node", "root"), "node", "left").withColumn("root", F.coalesce("root", "node"))
+        buckets = _open(buckets)
+    still = buckets.join(keyed.select("node", "counts"), "node")
+    rest = common.table(unlinked_pairs(still).join(judged, ["a", "b"], "left_anti"), "rest")
+    links, roots = _linked(docs, nodes, rest, names, links, roots)
+    if roots is None:  # no two texts are similar
+        links = rest.limit(0)
+        roots = names.select("node", F.col("node").alias("root"), "name")
     of_text = nodes.join(roots, "node", "left").select("t1", "t2", F.coalesce("root", "node").alias("root"), F.coalesce("name", "least").alias("class_id"))
     null = lambda c: F.when(F.col(c) != least, F.col(c)).alias(c)
     out = meet(members, of_text, ["t1", "t2"], nodes.where(F.col("n") > HOT).select("t1", "t2"), "doc_id")
