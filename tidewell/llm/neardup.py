@@ -41,8 +41,8 @@ WORDS, SIMILARITY = 5, 0.8
 SKETCHES, KMERS = 12, 2
 #: Words of a short k-mer, and orders of hashes for those.
 SHORT, SHORT_SKETCHES = 3, 32
-#: Places of a text's counts of words; members on a side of a block of pairs.
-PLACES, BLOCK = 128, 256
+#: Places of a text's counts of words, a power of two from its number of words on; members on a side of a block of pairs.
+PLACES, MOST_PLACES, BLOCK = 64, 8192, 256
 #: Edits up to which an alignment follows diagonals rather than columns.
 FEW = 6
 #: Rounds in which a text is compared with one leader, before all pairs not linked by then.
@@ -138,20 +138,35 @@ def band_values(words: np.ndarray) -> np.ndarray:
 
 
 def word_counts(words: np.ndarray) -> np.ndarray:
-    """Counts of words by PLACES, dealt by their hashes; capped, which only lessens differences."""
-    return np.minimum(np.bincount((words % np.uint64(PLACES)).astype(np.int64), minlength=PLACES), 0xFFFF).astype(np.uint16)
+    """Counts of words by places, dealt by their hashes; capped, which only lessens differences."""
+    places = min(MOST_PLACES, max(PLACES, 1 << max(0, len(words) - 1).bit_length()))
+    return np.minimum(np.bincount((words % np.uint64(places)).astype(np.int64), minlength=places), 0xFF).astype(np.uint8)
 
 
-def may_be_similar(sizes: np.ndarray, counts: np.ndarray, more_sizes: np.ndarray, more_counts: np.ndarray, asked: np.ndarray, similarity: float = SIMILARITY) -> np.ndarray:
+def may_be_similar(sizes: np.ndarray, counts: list[np.ndarray], more_sizes: np.ndarray, more_counts: list[np.ndarray], asked: np.ndarray, similarity: float = SIMILARITY) -> np.ndarray:
     """Of the pairs asked [i, j], those whose texts can be similar: as far as their counts of words tell, enough is shared."""
     longest = np.maximum(sizes[:, None], more_sizes[None, :])
     most = ((1 - similarity) * longest + 1e-9).astype(np.int64)
     out = asked & (np.abs(sizes[:, None] - more_sizes[None, :]) <= most)
-    beyond = sizes - counts.sum(axis=1, dtype=np.int64)  # words over the cap
+    places = np.array([len(c) for c in more_counts])
+    at = np.zeros(len(more_counts), np.int64)
+    held: dict[tuple[int, int], np.ndarray] = {}  # counts of the others by their places, folded to fewer
+    for n in np.unique(places).tolist():
+        same = np.flatnonzero(places == n)
+        at[same] = np.arange(len(same))
+        held[n, n] = np.stack([more_counts[j] for j in same])
     for i in np.flatnonzero(out.any(axis=1)):
         js = np.flatnonzero(out[i])
-        shared = np.minimum(counts[i], more_counts[js]).sum(axis=1, dtype=np.int64) + beyond[i]
-        out[i, js] = longest[i, js] - shared <= most[i, js]
+        mine = counts[i]
+        beyond = int(sizes[i]) - int(mine.sum(dtype=np.int64))  # words over the cap
+        for n in np.unique(places[js]).tolist():
+            some = js[places[js] == n]
+            to = min(n, len(mine))
+            if (n, to) not in held:
+                held[n, to] = held[n, n].reshape(-1, n // to, to).sum(axis=1, dtype=np.int32)
+            own = mine if len(mine) == to else mine.reshape(-1, to).sum(axis=0, dtype=np.int32)
+            shared = np.minimum(own, held[n, to][at[some]]).sum(axis=1, dtype=np.int64) + beyond
+            out[i, some] = longest[i, some] - shared <= most[i, some]
     return out
 
 
@@ -352,31 +367,35 @@ def sketches(docs: DataFrame) -> DataFrame:
 
 
 def unlinked_pairs(members: DataFrame) -> DataFrame:
-    """Pairs (a, b) of a bucket's members that are not linked yet and can be similar; members: (band, value, n, node, root, size, counts).
+    """Pairs (a, b) of a bucket's members that are not linked yet and can be similar; members: (band, value, n, node, root, size, keys, counts).
 
     A bucket of n members is dealt into blocks, and every two blocks meet in a task of
-    their own, so that no task holds more than two blocks.
+    their own, so that no task holds more than two blocks. A pair that shares several
+    buckets is looked at in the first of them.
     """
     parts = F.ceil(F.col("n") / BLOCK).cast("int")
     dealt = members.withColumn("parts", parts).withColumn("own", F.pmod(F.xxhash64("node", F.lit("block")), F.col("parts")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     ends = [F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")]
-    held = F.collect_list(F.struct("own", "node", "root", "size", "counts")).alias("held")
-    blocks = dealt.groupBy("band", "value", *ends).agg(held).where(F.size("held") > 1).select("low", "high", "held")
+    held = F.collect_list(F.struct("own", "node", "root", "size", "keys", "counts")).alias("held")
+    blocks = dealt.groupBy("band", "value", *ends).agg(held).where(F.size("held") > 1).select("band", "low", "high", "held")
 
     def run(batches):
         for batch in batches:
             for at in range(batch.num_rows):
-                low, high = batch.column("low")[at].as_py(), batch.column("high")[at].as_py()
+                band, low, high = (batch.column(k)[at].as_py() for k in ("band", "low", "high"))
                 rows = batch.column("held")[at].values
                 own, node, root, size = (rows.field(k).to_numpy(zero_copy_only=False) for k in range(4))
                 size = size.astype(np.int64)
-                counts = np.frombuffer(b"".join(rows.field(4).to_pylist()), np.uint16).reshape(len(own), -1)
+                earlier = np.array([k[:band] for k in rows.field(4).to_pylist()], np.int64).reshape(len(own), band)
+                counts = [np.frombuffer(c, np.uint8) for c in rows.field(5).to_pylist()]
                 x, y = np.flatnonzero(own == low), np.flatnonzero(own == high)
                 asked = root[x][:, None] != root[y][None, :]
                 if low == high:
                     asked = np.triu(asked, 1)
-                i, j = np.nonzero(may_be_similar(size[x], counts[x], size[y], counts[y], asked))
+                for k in range(band):
+                    asked &= earlier[x, k][:, None] != earlier[y, k][None, :]
+                i, j = np.nonzero(may_be_similar(size[x], [counts[k] for k in x], size[y], [counts[k] for k in y], asked))
                 first, second = node[x[i]], node[y[j]]
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(first, second)), pa.array(np.maximum(first, second))], names=["a", "b"])
 
@@ -511,7 +530,7 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         if roots is not None:
             buckets = buckets.drop("root").join(roots.select("node", "root"), "node", "left").withColumn("root", F.coalesce("root", "node"))
         buckets = _open(buckets)
-    still = buckets.join(keyed.select("node", "counts"), "node")
+    still = buckets.join(keyed.select("node", "keys", "counts"), "node")
     rest = common.table(unlinked_pairs(still).join(judged, ["a", "b"], "left_anti"), "rest")
     links, roots = _linked(docs, nodes, rest, names, links, roots)
     if roots is None:  # no two texts are similar
