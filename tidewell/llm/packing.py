@@ -28,8 +28,8 @@ QUERY = "op2_packing"
 
 #: Tokens of a window, and the id that ends every document.
 WINDOW, END = 2048, 1
-#: Distinct stretches of text a worker remembers with their ids, in two generations.
-MEMORY = 700_000
+#: Distinct stretches of text a worker remembers with their ids, in two generations, and their characters at most.
+MEMORY, MEMORY_CHARS = 700_000, 256
 #: Partition totals up to this number are broadcast, others joined by shuffle.
 BROADCAST_TOTALS = 100_000
 
@@ -49,8 +49,10 @@ class Tokens:
         self.library = Tokenizer.from_str(spec)
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.double = regex.compile(r"\s\s")
+        # Ids of stretches after a space, named without it, and of those before a text's first space.
         self.held: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.first: dict[str, bytes] = {}
 
     def _ask(self, texts: list[str]) -> list[bytes]:
         done = self.library.encode_batch_fast(texts, add_special_tokens=False)
@@ -60,30 +62,43 @@ class Tokens:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         if len(self.held) > MEMORY // 2:
             self.old, self.held = self.held, {}
-        parts: list[list[str] | None] = []
-        whole: list[str] = []
-        for t in texts:
+        if len(self.first) > MEMORY // 8:
+            self.first = {}
+        out: list[bytes | None] = [None] * len(texts)
+        held, old, first = self.held, self.old, self.first
+        whole, again, heads = [], [], {}
+        for k, t in enumerate(texts):
             if self.double.search(t) or t[:1].isspace() or t[-1:].isspace() or any(s in t for s in self.special):
-                whole.append(t)
-                parts.append(None)
+                whole.append(k)
+                continue
+            parts = t.split(" ")
+            head = first.get(parts[0])
+            found = list(map(held.get, parts))
+            found[0] = head
+            if None in found:
+                if head is None:
+                    heads[parts[0]] = None
+                again.append((k, parts, found))
             else:
-                first, *rest = t.split(" ")
-                parts.append([first, *[" " + w for w in rest]])
-        held, old = self.held, self.old
-        found = [p if p is None else list(map(held.get, p)) for p in parts]
+                out[k] = b"".join(found)
         # Only texts with a stretch that isn't remembered are looked at again.
-        again = [k for k, f in enumerate(found) if f is not None and None in f]
-        new = {w for k in again for w, f in zip(parts[k], found[k], strict=True) if f is None}
+        heads = dict(zip(heads, self._ask(list(heads)), strict=True))
+        new = {w for _, parts, found in again for w, f in zip(parts[1:], found[1:], strict=True) if f is None}
         known = new & old.keys()
         held.update((w, old[w]) for w in known)
         new = list(new - known)
-        for k in range(0, len(new), 20_000):
-            some = new[k : k + 20_000]
-            held.update(zip(some, self._ask(some), strict=True))
-        for k in again:
-            found[k] = [held[w] for w in parts[k]]
-        asked = iter(self._ask(whole))
-        return [next(asked) if f is None else b"".join(f) for f in found]
+        fresh: dict[str, bytes] = {}
+        for a in range(0, len(new), 20_000):
+            some = new[a : a + 20_000]
+            fresh.update(zip(some, self._ask([" " + w for w in some]), strict=True))
+        for k, parts, found in again:
+            rest = [f if f is not None else fresh[w] if w in fresh else held[w] for w, f in zip(parts[1:], found[1:], strict=True)]
+            out[k] = b"".join([heads[parts[0]] if found[0] is None else found[0], *rest])
+        held.update((w, x) for w, x in fresh.items() if len(w) <= MEMORY_CHARS)
+        first.update((w, x) for w, x in heads.items() if len(w) <= MEMORY_CHARS)
+        for k, x in zip(whole, self._ask([texts[k] for k in whole]), strict=True):
+            out[k] = x
+        return out
 
 
 def tokenise(docs: DataFrame, tokenizer_path: str) -> DataFrame:
@@ -126,20 +141,17 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW) -> DataFram
         bases = F.broadcast(bases)
     placed = done.join(bases, "part").select("doc_id", "doc_tokens", "ids", (F.col("base") + F.col("start_in_part")).alias("at"))
     first, last = F.expr(f"at div {window}"), F.expr(f"(at + doc_tokens - 1) div {window}")
-    cut = placed.select("doc_id", "doc_tokens", "ids", "at", F.explode(F.sequence(first, last)).alias("sequence_id"))
-    # The piece is what the document and the window have in common.
-    start = F.greatest(F.lit(0).cast("long"), F.col("sequence_id") * window - F.col("at"))
-    stop = F.least(F.col("doc_tokens"), (F.col("sequence_id") + 1) * window - F.col("at"))
-    cut = cut.withColumn("start", start).withColumn("length", stop - F.col("start"))
-    return cut.select(
-        "doc_id",
-        "start",
-        "length",
-        F.expr("substring(ids, cast(start * 4 + 1 as int), cast(length * 4 as int))").alias("ids"),
-        "doc_tokens",
-        "sequence_id",
-        (F.col("at") + F.col("start") - F.col("sequence_id") * window).alias("offset"),
-    )
+    # A piece is what the document and the window have in common; its ids are cut out before the pieces become rows.
+    at = F.col("at")
+
+    def piece(k):
+        start = F.greatest(F.lit(0).cast("long"), k * window - at)
+        stop = F.least(F.col("doc_tokens"), (k + 1) * window - at)
+        ids = F.substring("ids", (start * 4 + 1).cast("int"), ((stop - start) * 4).cast("int"))
+        return F.struct(start.alias("start"), (stop - start).alias("length"), ids.alias("ids"), k.alias("sequence_id"), (at + start - k * window).alias("offset"))
+
+    pieces = placed.select("doc_id", "doc_tokens", F.explode(F.transform(F.sequence(first, last), piece)).alias("p"))
+    return pieces.select("doc_id", "p.start", "p.length", "p.ids", "doc_tokens", "p.sequence_id", "p.offset")
 
 
 def digest(pieces: DataFrame) -> DataFrame:
