@@ -31,13 +31,15 @@ def bound_batches(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one where it is unset."""
+    """The shared folder the cluster names; a temporary one where it is unset and all runs in one process."""
     given = spark.conf.get("spark.checkpoint.dir", "")
     if given:
         return given.rstrip("/")
     held = spark.sparkContext._jsc.sc().getCheckpointDir()
     if held.isDefined():
         return str(held.get()).rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     path = "file://" + tempfile.mkdtemp(prefix="tidewell-")
     spark.sparkContext.setCheckpointDir(path)
     return path

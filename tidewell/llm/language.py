@@ -25,8 +25,8 @@ from tidewell.llm import common
 
 QUERY = "op4_language"
 
-#: Learned from at most so many documents and so many letters and spaces of a language.
-SAMPLE_DOCUMENTS, SAMPLE_CHARS = 120, 30_000
+#: Learned from at most so many documents, whole ones, and so many letters and spaces of a language.
+SAMPLE_DOCUMENTS, SAMPLE_CHARS = 120, 40_000
 #: Symbols with a column of their own in the tables of transitions; those of others are sorted pairs.
 ALPHABET = 62
 #: A text is parsed in stretches of this many characters, at whose ends a phrase ends too.
@@ -215,19 +215,21 @@ def learn(labelled: DataFrame, documents: int = SAMPLE_DOCUMENTS, chars: int = S
     counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return {}
-    # A hash picks the sample, so that it does not depend on the order of rows.
+    # A hash picks the sample, so that it does not depend on the order of rows; of rows too long for it one is the last resort.
     share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, 2 * documents / n))])
     at = F.pmod(F.xxhash64("doc_id", "lang"), F.lit(1_000_000)) / 1_000_000
-    some = labelled.where(at < share[F.col("lang")]).select("lang", "text", at.alias("at"), "doc_id")
-    rows = sorted(some.limit(4 * documents * len(counts)).collect(), key=lambda r: (r["lang"], r["at"], r["doc_id"] or 0, r["text"]))
+    fits = F.length("text") <= chars
+    some = labelled.where(fits & (at < share[F.col("lang")])).select("lang", "text", at.alias("at"), "doc_id").limit(4 * documents * len(counts)).collect()
+    rows = sorted(some, key=lambda r: (r["lang"], r["at"], r["doc_id"] or 0, r["text"]))
+    short = labelled.groupBy("lang").agg(F.min_by(F.substring("text", 1, chars), F.struct(F.length("text"), "text")).alias("text")).collect()
     out: dict[str, str] = {}
     used: dict[str, int] = {}
-    for r in rows:
-        if used.get(r["lang"], 0) < documents and len(out.get(r["lang"], "")) < chars:
-            text = letters(r["text"])
-            used[r["lang"]] = used.get(r["lang"], 0) + 1
-            # No document gives more than a tenth, so that one odd text does not stand for a language.
-            out[r["lang"]] = (out.get(r["lang"], "") + " " + text[: chars // 10]).strip()
+    for r in [*rows, *sorted(short, key=lambda r: r["lang"])]:
+        lang, text = r["lang"], letters(r["text"])
+        # Whole documents, as long as they fit.
+        if text and used.get(lang, 0) < documents and len(out.get(lang, "")) + len(text) < chars or lang not in out:
+            used[lang] = used.get(lang, 0) + 1
+            out[lang] = (out.get(lang, "") + " " + text).strip()
     return {k: v[:chars] for k, v in out.items()}
 
 
