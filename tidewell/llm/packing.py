@@ -29,7 +29,7 @@ QUERY = "op2_packing"
 #: Tokens of a window, and the id that ends every document.
 WINDOW, END = 2048, 1
 #: Distinct stretches of text a worker remembers with their ids, in two generations, and their characters at most.
-MEMORY, MEMORY_CHARS = 700_000, 256
+MEMORY, MEMORY_CHARS = 500_000, 256
 #: Partition totals up to this number are broadcast, others joined by shuffle.
 BROADCAST_TOTALS = 100_000
 
@@ -75,15 +75,20 @@ class Tokens:
             head = first.get(parts[0])
             found = list(map(held.get, parts))
             found[0] = head
-            if None in found:
-                if head is None:
-                    heads[parts[0]] = None
-                again.append((k, parts, found))
+            if head is None:
+                heads[parts[0]] = None
+                found[0] = b""
+            missing, at = [], -1
+            for _ in range(found.count(None)):
+                at = found.index(None, at + 1)
+                missing.append(at)
+            if missing or head is None:
+                again.append((k, parts, found, missing, head is None))
             else:
                 out[k] = b"".join(found)
-        # Only texts with a stretch that isn't remembered are looked at again.
+        # Only stretches that aren't remembered are looked at again.
         heads = dict(zip(heads, self._ask(list(heads)), strict=True))
-        new = {w for _, parts, found in again for w, f in zip(parts[1:], found[1:], strict=True) if f is None}
+        new = {parts[at] for _, parts, _, missing, _ in again for at in missing}
         known = new & old.keys()
         held.update((w, old[w]) for w in known)
         new = list(new - known)
@@ -91,9 +96,13 @@ class Tokens:
         for a in range(0, len(new), 20_000):
             some = new[a : a + 20_000]
             fresh.update(zip(some, self._ask([" " + w for w in some]), strict=True))
-        for k, parts, found in again:
-            rest = [f if f is not None else fresh[w] if w in fresh else held[w] for w, f in zip(parts[1:], found[1:], strict=True)]
-            out[k] = b"".join([heads[parts[0]] if found[0] is None else found[0], *rest])
+        for k, parts, found, missing, no_head in again:
+            for at in missing:
+                w = parts[at]
+                found[at] = fresh[w] if w in fresh else held[w]
+            if no_head:
+                found[0] = heads[parts[0]]
+            out[k] = b"".join(found)
         held.update((w, x) for w, x in fresh.items() if len(w) <= MEMORY_CHARS)
         first.update((w, x) for w, x in heads.items() if len(w) <= MEMORY_CHARS)
         for k, x in zip(whole, self._ask([texts[k] for k in whole]), strict=True):
