@@ -13,7 +13,7 @@ def pattern(patterns):
 
 
 _HEADINGS, _LABELS, _APPLY, _READER = map(pattern, (t.HEADINGS, t.LABELS, t.APPLY, t.READER))
-_EQUAL, _CLOSED = re.compile(t.EQUAL, re.I), re.compile("|".join(t.CLOSED), re.I)
+_EQUAL, _CLOSED = re.compile(t.any_of(t.EQUAL), re.I), re.compile(t.any_of(t.CLOSED), re.I)
 
 
 def score(text: str, items: int = 0) -> float:
