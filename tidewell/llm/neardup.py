@@ -41,6 +41,8 @@ WORDS, SIMILARITY = 5, 0.8
 SKETCHES, KMERS = 12, 2
 #: Words of a short k-mer, and orders of hashes for those.
 SHORT, SHORT_SKETCHES = 3, 32
+#: Hashes of k-mers that are ordered at once.
+AT_ONCE = 1 << 17
 #: Places of a text's counts of words, a power of two from its number of words on; members on a side of a block of pairs.
 PLACES, MOST_PLACES, BLOCK = 64, 8192, 256
 #: Edits up to which an alignment follows diagonals rather than columns.
@@ -123,12 +125,16 @@ def order_min_hash(words: np.ndarray, sketches: int = SKETCHES, sampled: int = K
     h = kmers(words, size)
     take = min(sampled, len(h))
     seeds = _seeds(sketches)
-    x = _mixed(h ^ seeds[:, None])
-    places = np.argpartition(x, take - 1, axis=1)[:, :take] if take < len(h) else np.tile(np.arange(take), (sketches, 1))
-    picked = h[np.sort(places, axis=1)]
-    number = seeds
-    for k in range(take):
-        number = _mixed(number + picked[:, k] + _ODD)
+    number = seeds.copy()
+    # As many orders at once as AT_ONCE numbers allow.
+    step = max(1, AT_ONCE // len(h))
+    for a in range(0, sketches, step):
+        some = slice(a, a + step)
+        x = _mixed(h ^ seeds[some, None])
+        places = np.argpartition(x, take - 1, axis=1)[:, :take] if take < len(h) else np.tile(np.arange(take), (len(x), 1))
+        picked = h[np.sort(places, axis=1)]
+        for k in range(take):
+            number[some] = _mixed(number[some] + picked[:, k] + _ODD)
     return number
 
 
