@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import sys
 import tempfile
 import types
 import uuid
 
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 cloudpickle.register_pickle_by_value(sys.modules["tidewell.llm"])
 
 #: Bytes of rows that Spark hands to a Python worker at once.
-ARROW_BATCH = "8m"
+ARROW_BATCH = "4m"
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -85,6 +87,15 @@ def label_of(labels: DataFrame, name: str) -> DataFrame:
     )
 
 
+def tidy() -> None:
+    """At the end of a task, hand memory that a Python worker has freed back to the system; the worker lives on."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # a C library without it
+        pass
+
+
 def worker_state(key: str, make):
     """A value that a Python worker process keeps between its tasks."""
     held = sys.modules.setdefault("_tidewell_worker", types.ModuleType("_tidewell_worker"))

@@ -52,7 +52,7 @@ ROUNDS = 2
 #: Rows from which on a key counts as hot, parts its rows are dealt into, hot keys that are broadcast at most (24 bytes each).
 HOT, SALTS, BROADCAST_KEYS = 1024, 32, 200_000
 #: Distinct texts by whose hashes a task knows that it has sketched them.
-KNOWN = 1 << 20
+KNOWN = 1 << 17
 #: Rounds of labels after which something must be wrong (they halve every path).
 MOST_JOINS = 300
 
@@ -368,6 +368,7 @@ def sketches(docs: DataFrame) -> DataFrame:
             sizes = pa.array([len(w) for w in texts], pa.int32())
             counts = pa.array([word_counts(w).tobytes() for w in texts], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("t1"), batch.column("t2"), keys, sizes, counts], names=["t1", "t2", "keys", "size", "counts"])
+        common.tidy()
 
     return source.mapInArrow(run, "t1 long, t2 long, keys array<long>, size int, counts binary")
 
@@ -428,6 +429,7 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                     last, held = x, words(x)
                 ok.append(similar(held, words(y)))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(ok, pa.bool_())], names=["a", "b", "ok"])
+        common.tidy()
 
     return rows.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long, ok boolean")
 

@@ -29,7 +29,7 @@ QUERY = "op2_packing"
 #: Tokens of a window, and the id that ends every document.
 WINDOW, END = 2048, 1
 #: Distinct stretches of text a worker remembers with their ids, in two generations, and their characters at most.
-MEMORY, MEMORY_CHARS = 500_000, 256
+MEMORY, MEMORY_CHARS = 300_000, 256
 #: Partition totals up to this number are broadcast, others joined by shuffle.
 BROADCAST_TOTALS = 100_000
 
@@ -136,6 +136,7 @@ def tokenise(docs: DataFrame, tokenizer_path: str) -> DataFrame:
                 [batch.column("doc_id"), pa.array(np.full(len(ids), part, np.int32)), pa.array(starts), pa.array(lengths), pa.array(ids, pa.binary())],
                 names=["doc_id", "part", "start_in_part", "doc_tokens", "ids"],
             )
+        common.tidy()
 
     return common.table(source.mapInArrow(run, schema), "tokens")
 

@@ -47,9 +47,9 @@ AVERAGED = 0.3
 #: Windows by which a toxic document teaches, in equal parts of the training.
 TAKEN = (6, 6, 4, 3, 2, 2)
 #: Distinct words a worker remembers with their projections, in two generations.
-MEMORY = 200_000
+MEMORY = 150_000
 #: Windows scored side by side; words of a text whose windows are held at once.
-SIDE_BY_SIDE, LONG = 4096, 1 << 17
+SIDE_BY_SIDE, LONG = 2048, 1 << 15
 
 _WORD = re.compile(rf"\w{{1,{WORD_CHARS}}}")
 #: Mixing constants for hashes of characters.
@@ -448,6 +448,8 @@ def score(docs: DataFrame, net: Network, keep: tuple[str, ...] = ("doc_id",)) ->
         for batch in batches:
             found = scorer(batch.column("__text").to_pylist())
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keep), pa.array(found, pa.float64())], names=[*keep, "score"])
+        del scorer
+        common.tidy()
 
     return source.mapInArrow(run, source.select(*keep).schema.add("score", "double"))
 
