@@ -56,6 +56,15 @@ def tally(deltas: DataFrame) -> DataFrame:
     return deltas.groupBy(kind.alias("kind"), key.alias("key")).agg(F.sum("delta").alias("n"), F.min("updated_at").alias("first"), F.max("updated_at").alias("last"))
 
 
+def skipped_values(rows: DataFrame, value: Column, allowed: list[str], k: int = 40) -> DataFrame:
+    """(value, n, empty_share): the k most frequent non-empty values outside allowed, ties by value, and the share of empty ones among all rows skipped."""
+    skipped = rows.select(F.trim(F.coalesce(value, F.lit(""))).alias("value")).where(~F.col("value").isin(allowed))
+    counts = skipped.groupBy("value").agg(F.count("*").alias("n"))
+    total = counts.agg((F.coalesce(F.sum(F.when(F.col("value") == "", F.col("n"))), F.lit(0)) / F.greatest(F.sum("n"), F.lit(1))).alias("empty_share"))
+    most = counts.where("value <> ''").orderBy(F.desc("n"), "value").limit(k)
+    return most.join(F.broadcast(total), F.lit(True))
+
+
 def campaign_summary(deltas: DataFrame) -> DataFrame:
     """(campaign, metric, n) and the seconds between a campaign's first and last update."""
     span = (F.unix_micros(F.max(F.col("updated_at").cast("timestamp"))) - F.unix_micros(F.min(F.col("updated_at").cast("timestamp")))) / 1e6

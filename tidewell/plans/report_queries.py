@@ -78,6 +78,19 @@ TALLY = f"""with {DELTAS} select case when starts_with(metric, 'platform__') the
   regexp_replace(metric, '^(platform|country)__', '') as key, cast(sum(delta) as bigint) as n, min(updated_at) as first, max(updated_at) as last from deltas group by 1, 2"""
 
 
+def skipped_values(spark: SparkSession, d: str) -> DataFrame:
+    # Orders without urgency have no value here; the two first priorities are allowed.
+    orders = spark.read.parquet(f"{d}/orders.parquet")
+    value = F.when(F.col("o_orderpriority").startswith("5"), " ").otherwise(F.concat("o_orderpriority", F.lit("/"), F.pmod("o_custkey", F.lit(29))))
+    return reports.skipped_values(orders, value, [f"1-URGENT/{k}" for k in range(29)] + [f"2-HIGH/{k}" for k in range(29)])
+
+
+SKIPPED = """with v as (select case when starts_with(o_orderpriority, '5') then '' else o_orderpriority || '/' || (o_custkey % 29) end as value from orders),
+s as (select value, count(*) as n from v where value not like '1-URGENT/%' and value not like '2-HIGH/%' group by value),
+t as (select coalesce(sum(n) filter (where value = ''), 0) / greatest(sum(n), 1)::double as empty_share from s)
+select value, n, empty_share from s, t where value <> '' order by n desc, value limit 40"""
+
+
 def campaign_summary(spark: SparkSession, d: str) -> DataFrame:
     return reports.campaign_summary(_deltas(spark, d))
 
@@ -233,6 +246,7 @@ QUERIES = {
     "rank_bands": (rank_bands, RANKS),
     "scan_report": (scan_report, SCAN),
     "stat_tallies": (stat_tallies, TALLY),
+    "skipped_values": (skipped_values, SKIPPED),
     "campaign_summary": (campaign_summary, CAMPAIGN),
     "signal_mix": (signal_mix, SIGNALS),
     "blank_rate_ema": (blank_rate_ema, EMA),
