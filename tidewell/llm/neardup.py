@@ -9,12 +9,13 @@ share a bucket and are candidates.
 
 Equal texts are first made one. A candidate pair counts if its edit similarity over
 words, 1 - distance / longer length, reaches SIMILARITY, by an alignment in a band that
-just holds the edits this allows. In each of ROUNDS rounds every bucket has a leader, by
-an order of the round, and a text is compared with one leader, that with which it shares
-most buckets. A bucket whose members are then linked to each other, if through other
-buckets, is settled and takes no further part. Then, in all others, every pair that is
-not yet linked is compared: pairs are made in blocks of BLOCK by BLOCK members, and
-those that differ too much in their counts of words to be similar need no alignment.
+just holds the edits this allows. In each of ROUNDS rounds every bucket has a leader for
+each span of sizes, by an order of the round, and a text is compared with one leader,
+that with which it shares most buckets. A bucket whose members are then linked to each
+other, if through other buckets, is settled and takes no further part. Then, in all
+others, every pair that is not yet linked is compared: pairs are made in blocks of BLOCK
+by BLOCK members, and those that differ too much in their counts of words to be similar
+need no alignment.
 Classes are the connected components of the links; a class is named by its least doc_id.
 Keys that many rows share (a bucket, a leader, a hub, a root, a text) are dealt into
 SALTS parts wherever rows meet by them.
@@ -26,6 +27,8 @@ others. Further columns are kept by deduplicate().
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -476,18 +479,27 @@ def components(links: DataFrame, names: DataFrame | None = None) -> DataFrame:
 
 
 def _led(buckets: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
-    """Round k over buckets (node, size, root, band, value): those of several members with their number n, and a pair (a, b) for each member and the leader of another root with which it shares most buckets."""
-    order = F.struct(F.xxhash64("root", F.lit(k)).alias("by"), "node", "size", "root")
-    leaders = buckets.groupBy("band", "value").agg(F.min(order).alias("l"), F.count("*").alias("n")).where("n > 1")
-    leaders = leaders.select("band", "value", "n", F.col("l.node").alias("leader"), F.col("l.size").alias("leader_size"), F.col("l.root").alias("leader_root"))
+    """Round k over buckets (node, size, root, band, value): those of several members with their number n, and a pair (a, b) for each member and the leader of another root with which it shares most buckets.
+
+    A bucket has a leader for every span of sizes, as texts that differ much in size
+    tell each other nothing; the spans are half a span further in every round.
+    """
+    span = F.floor(F.log(F.col("size") + F.lit(1.0)) / F.lit(-math.log(SIMILARITY)) + F.lit(k / 2))
+    buckets = buckets.withColumn("span", span)
+    order = F.struct(F.xxhash64("node", F.lit(k)).alias("by"), "node", "size", "root")
+    leaders = buckets.groupBy("band", "value", "span").agg(F.min(order).alias("l"), F.count("*").alias("n"))
+    leaders = leaders.groupBy("band", "value").agg(F.sum("n").alias("n"), F.collect_list(F.struct("span", "l")).alias("leaders")).where("n > 1")
     leaders = common.table(leaders, "leaders")
-    led = common.table(meet(buckets, leaders, ["band", "value"], leaders.where(F.col("n") > HOT).select("band", "value"), "node"), "led")
+    led = meet(buckets, leaders, ["band", "value"], leaders.where(F.col("n") > HOT).select("band", "value"), "node")
+    led = led.withColumn("l", F.filter("leaders", lambda x: x["span"] == F.col("span"))[0]["l"])
+    own = ["node", "size", "root", "band", "value", "n"]
+    led = common.table(led.select(*own, F.col("l.node").alias("leader"), F.col("l.size").alias("leader_size"), F.col("l.root").alias("leader_root")), "led")
     longest = F.greatest("size", "leader_size")
     close = F.abs(F.col("size") - F.col("leader_size")) <= F.floor(F.lit(1 - SIMILARITY) * longest + F.lit(1e-9))
     shared = led.where((F.col("root") != F.col("leader_root")) & close).groupBy("node", "leader").agg(F.count("*").alias("bands"))
     chosen = shared.groupBy("node").agg(F.max(F.struct("bands", "leader")).alias("c")).select("node", "c.leader")
     pairs = chosen.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
-    return led.select("node", "size", "root", "band", "value", "n"), pairs
+    return led.select(*own), pairs
 
 
 def _linked(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, names: DataFrame, links: DataFrame | None, roots: DataFrame | None) -> tuple[DataFrame | None, DataFrame | None]:
