@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -94,6 +95,23 @@ def test_op2(spark, docs, odd, empty):
     assert packing.pack(empty, PATH).count() == 0
 
 
+def test_distinct_stretches_are_asked_for_together(monkeypatch):
+    """Of a batch each distinct stretch reaches the library once, and many of them in one text."""
+    tokens = packing.Tokens(open(PATH, encoding="utf-8").read())
+    asked, ask = [], tokens._ask
+    monkeypatch.setattr(tokens, "_ask", lambda texts, *a, **b: asked.extend(texts) or ask(texts, *a, **b))
+    words = [f"w{k}é,\n{k}'s" for k in range(3000)]
+    letters = "aeiouéèçßñÅÿ"
+    plain = [a + b + c + end for a in letters for b in letters for c in letters for end in ("", ".", ",", "ª", "×", "..", ",a")]
+    texts = [" ".join(words), " ".join(plain), " ".join(["head", *words[::-1]]), "", "one", "x " + words[0], "two  spaces", "a<|endoftext|> b"]
+    assert tokens(texts) == [ids(t) for t in texts]
+    assert len(asked) <= 20 and sum(t.count(words[5]) for t in asked) == 1
+    tokens.opens[:] = False  # tokens that don't keep to the stretches
+    tokens.held = tuple(x[:0] for x in tokens.held)
+    assert tokens(texts) == [ids(t) for t in texts]
+    assert packing.Tokens(open(PATH, encoding="utf-8").read()).column(pa.array([], pa.string())).to_pylist() == []
+
+
 def by_texts(df):
     out = {}
     for r in df.select("doc_id", "text").collect():
