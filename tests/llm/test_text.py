@@ -1,6 +1,7 @@
 """Tokens, packing, languages, pages: against the library, brute force and exact round trips."""
 
 import hashlib
+import json
 import zlib
 
 import numpy as np
@@ -112,6 +113,32 @@ def test_distinct_stretches_are_asked_for_together(monkeypatch):
     assert packing.Tokens(open(PATH, encoding="utf-8").read()).column(pa.array([], pa.string())).to_pylist() == []
 
 
+def test_stretches_share_their_pieces(monkeypatch):
+    """A plain piece is asked for once, whatever it stands with, and the ids are the library's for every kind of character."""
+    tokens = packing.Tokens(open(PATH, encoding="utf-8").read())
+    asked, ask = [], tokens._ask
+    monkeypatch.setattr(tokens, "_ask", lambda texts, *a, **b: asked.extend(texts) or ask(texts, *a, **b))
+    texts = ["Of blarquzé", "a blarquzé. blarquzé, blarquzé$$$ blarquzé.\nBlarquzé x.\nblarquzé", "blarquzé 12blarquzé.36@mail"]
+    assert tokens(texts) == [ids(t) for t in texts]
+    assert sum(t.encode().count("\u0120blarquz".encode()) for t in asked) == 1
+    odd = [f"ab{chr(c)}cd é{chr(c)} {chr(c)}x 1{chr(c)} {chr(c)}'s" for c in (*range(0x250), *range(0x2000, 0x2070), 0x1680, 0x3000, 0xFEFF, 0x1F600)]
+    texts = ["", *odd, *texts, "", " ", "\n", "×", "÷a b", "'s 'll x's", "z" * 300 + "\n" + "z" * 300, ""]
+    assert tokens(texts) == [ids(t) for t in texts] and tokens(texts[3:9]) == [ids(t) for t in texts[3:9]]
+    monkeypatch.setattr(packing, "MEMORY", 8)  # what is remembered is let go
+    assert tokens(texts) == tokens(texts[::-1])[::-1] == [ids(t) for t in texts]
+    assert tokens.column(pa.array(["x", *texts]).slice(2), b"end").to_pylist() == [ids(t) + b"end" for t in texts[1:]]
+    tokens.size[:] = 0  # tokens that don't spell the bytes
+    tokens.pieces, tokens.old_pieces = {}, {}
+    assert tokens(texts) == [ids(t) for t in texts]
+
+
+def test_other_normalizers_go_to_the_library():
+    held = json.loads(open(PATH, encoding="utf-8").read()) | {"normalizer": {"type": "Lowercase"}}
+    library = Tokenizer.from_str(json.dumps(held))
+    texts = ["The CAT. sat", "ÀB cD,\nEf", ""]
+    assert packing.Tokens(json.dumps(held))(texts) == [np.array(library.encode(t).ids, "<u4").tobytes() for t in texts]
+
+
 def by_texts(df):
     out = {}
     for r in df.select("doc_id", "text").collect():
